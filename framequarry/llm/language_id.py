@@ -2,7 +2,7 @@
 
 Kernel: blended spectrum of character n-grams by presence, k(x, y) = |grams(x) & grams(y)| / sqrt(|grams(x)| |grams(y)|)
 with grams(x) the distinct n-grams of the lower-cased text for every n in ``ORDERS``. Landmarks Z come from the training
-sample; the feature map is phi(x) = k(x, Z) K_ZZ^(-1/2) and ridge regression on it has one output per language. A
+sample; the feature map is phi(x) = k(x, Z) K_ZZ^(-1/2) (any root, here of the Cholesky factor) and ridge regression on it has one output per language. A
 batch is scored as presence matrix times landmark matrix times coefficients; the last two are multiplied once, which
 leaves one row of coefficients per landmark n-gram. Scores are a softmax of the outputs with a fitted slope.
 
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framequarry.llm.common import held_out, spread_sample, table
+from framequarry.llm.dense import cholesky, inverse
 from framequarry.llm.textnum import mix
 
 ORDERS = (1, 2, 3)
@@ -62,14 +63,13 @@ class KernelModel:
         norm = np.sqrt(np.maximum(marks.sum(1, keepdims=True), 1))
         marks /= norm
         k_zz = (marks @ marks.T).astype(np.float64)
-        w, u = np.linalg.eigh(k_zz)
-        keep = w > 1e-8 * w.max()
-        root = (u[:, keep] / np.sqrt(w[keep])) @ u[:, keep].T
+        # Any root of the inverse gives the same kernel; the Cholesky factor is the cheapest.
+        root = inverse(cholesky(k_zz + 1e-6 * np.eye(len(k_zz)))).T
         z = self._kernel(texts, marks) @ root
         z1 = np.hstack([z, np.ones((len(z), 1))])
         penal = np.eye(z1.shape[1]) * RIDGE * len(z)
         penal[-1, -1] = 1e-9
-        coef = np.linalg.solve(z1.T @ z1 + penal, z1.T @ y)
+        coef = inverse(z1.T @ z1 + penal) @ (z1.T @ y)
         self.weights = (marks.T @ (root @ coef[:-1])).astype(np.float32)
         self.bias = coef[-1].astype(np.float32)
         f, true = z1 @ coef, y.argmax(1)

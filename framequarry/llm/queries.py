@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from framequarry.llm.language_id import op10_language_id
+from framequarry.llm.packing import op1_packing
 from framequarry.llm.sharding import op7_sharding
 from framequarry.llm.toxicity import op9_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
     "op7_sharding": op7_sharding,
     "op9_toxicity": op9_toxicity,
     "op10_language_id": op10_language_id,
