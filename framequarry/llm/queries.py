@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from framequarry.llm.decontamination import ORACLE as OP8_SQL
+from framequarry.llm.decontamination import op8_decontamination
 from framequarry.llm.language_id import op10_language_id
 from framequarry.llm.packing import op1_packing
 from framequarry.llm.sharding import op7_sharding
@@ -14,8 +16,9 @@ from framequarry.llm.toxicity import op9_toxicity
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op7_sharding": op7_sharding,
+    "op8_decontamination": op8_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op8_decontamination": OP8_SQL}

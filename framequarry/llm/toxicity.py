@@ -21,7 +21,7 @@ from framequarry.llm.textnum import LOWER, mix, slices, span_hashes, words
 
 PER_CLASS, FIT_CHARS = 3000, 60_000
 #: FTRL's alpha, beta, L1, L2 and passes over the sample.
-ALPHA, BETA, L1, L2, PASSES = 0.1, 1.0, 2.0, 1.0, 4
+ALPHA, BETA, L1, L2, PASSES = 3.0, 1.0, 12.0, 0.0, 10
 SKIPS = (1, 2, 3)
 _BITS = 46
 _LOW = np.uint64((1 << _BITS) - 1)
@@ -91,9 +91,9 @@ def fit_toxicity(labelled: DataFrame, text: str = "text", label: str = "toxic",
     col = pa.array([r[text] for r in picked], pa.large_string())
     parts = [(v, row + i) for i, _, data, off in slices(col) for v, row in [features(data, off)]]
     value, row = np.concatenate([v for v, _ in parts]), np.concatenate([r for _, r in parts])
-    # A feature of one row alone can't carry over to others.
+    # A feature of one or two rows says little about others.
     keys, at, n = np.unique(value, return_inverse=True, return_counts=True)
-    often = n > 1
+    often = n > 2
     new = np.cumsum(often)
     keep = often[at]
     at, row, keys = new[at[keep]], row[keep], keys[often]
