@@ -85,3 +85,13 @@ def spread_sample(df: DataFrame, key: Column, per_key: int, order: Column) -> Da
 
 def spark_of(df: DataFrame) -> SparkSession:
     return df.sparkSession
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_chars: int, doc_id: str = "doc_id", text: str = "text", extra: tuple[str, ...] = ()) -> list:
+    """Collected rows (doc_id, text, label, extra columns), at most about ``per_class`` of each label 0 and 1, of texts of at
+    most ``max_chars``. The ids are picked from the labels first, so only this bounded set of ids is broadcast and no
+    text is shuffled. Of a repeated id the largest label counts."""
+    known = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).groupBy(doc_id).agg(F.max(label).alias("fq_label"))
+    ids = spread_sample(known, F.col("fq_label"), per_class, F.xxhash64(doc_id))
+    rows = docs.where(F.col(text).isNotNull() & (F.length(text) <= max_chars)).select(doc_id, text, *extra).join(F.broadcast(ids), doc_id)
+    return rows.orderBy(F.xxhash64(doc_id, text), doc_id).limit(2 * per_class).collect()

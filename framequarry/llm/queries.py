@@ -10,11 +10,13 @@ from framequarry.llm.decontamination import ORACLE as OP8_SQL
 from framequarry.llm.decontamination import op8_decontamination
 from framequarry.llm.language_id import op10_language_id
 from framequarry.llm.packing import op1_packing
+from framequarry.llm.quality import op4_quality
 from framequarry.llm.sharding import op7_sharding
 from framequarry.llm.toxicity import op9_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op4_quality": op4_quality,
     "op7_sharding": op7_sharding,
     "op8_decontamination": op8_decontamination,
     "op9_toxicity": op9_toxicity,
