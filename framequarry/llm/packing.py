@@ -17,7 +17,9 @@ table gives no pieces. Columns of the input other than the id and text are not r
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -30,30 +32,58 @@ from framequarry.llm.common import Scratch, table
 from framequarry.llm.dense import inverse as invert
 
 CAPACITY = 4096
-CACHE_WORDS = 250_000
+CACHE_WORDS = 500_000
+
+
+#: ASCII punctuation that always is a run of its own; the apostrophe is not, it may begin a suffix.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: From here on code points may combine with others or have lower-case forms that depend on their neighbours.
+_HARD = re.compile("[\u0130\u0300-\U0010ffff]").search
 
 
 class WordCache(dict):
     """Ids (little-endian uint32 bytes) of strings between spaces. The tokenizer drops white space and never joins across
-    it, so a text's ids are those of its parts in order. Cleared when full, which changes no result."""
+    it, so a text's ids are those of its parts in order; it also lower-cases, and splits letters from the marks after
+    them, so such parts share entries, and a word of letters is one unit of its merge model. Texts with code points of
+    which this isn't certain are encoded as a whole. Entries not met again while the cache filled up once more are
+    dropped, which changes no result."""
 
     def __init__(self, path: str):
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.old = Tokenizer.from_file(path), {}
+        self.units = self.tokenizer.model.tokenize
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.table = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, 0x300)}
 
     def __missing__(self, part: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        if len(part) <= 200:
+        ids = self.old.get(part)
+        if ids is None:
+            if part.isalpha():
+                ids = array("I", [t.id for t in self.units(part.translate(self.table))]).tobytes()
+            else:
+                core = part.rstrip(_MARKS)
+                if core and len(core) < len(part) and core.isalpha():
+                    ids = self[core] + self[part[len(core) :]]
+                else:
+                    ids = self.encode(part)
+        if len(part) <= 100:
             self[part] = ids
         return ids
 
+    def encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
     def ids(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))
+        if _HARD(text):
+            return self.encode(text)
+        if len(self) >= CACHE_WORDS:
+            self.old = dict(self)
+            self.clear()
+        return b"".join(map(self.__getitem__, text.lower().replace("\n", " ").replace("\t", " ").split(" ")))
 
 
 _caches: dict[str, WordCache] = {}
@@ -79,8 +109,9 @@ def _pieces(path: str, capacity: int, end_id: int, with_ids: bool, names: list[s
         part, seen = TaskContext.get().partitionId(), np.zeros(len(edges), np.int64)
         for b in batches:
             row, start, length, crc, total, ids = [], [], [], [], [], []
-            for i, text in enumerate(b.column(1).to_pylist()):
-                got = (cache.ids(text) if text else b"") + end
+            texts = [t or "" for t in b.column(1).to_pylist()]
+            for i, text in enumerate(texts):
+                got = cache.ids(text) + end
                 n = len(got) // 4
                 for s in range(0, n, capacity):
                     cut = got[4 * s : 4 * (s + capacity)]
