@@ -10,6 +10,7 @@ from framequarry.llm.decontamination import ORACLE as OP8_SQL
 from framequarry.llm.decontamination import op8_decontamination
 from framequarry.llm.language_id import op10_language_id
 from framequarry.llm.packing import op1_packing
+from framequarry.llm.perplexity import op5_perplexity
 from framequarry.llm.pii import op6_pii
 from framequarry.llm.quality import op4_quality
 from framequarry.llm.sharding import op7_sharding
@@ -18,6 +19,7 @@ from framequarry.llm.toxicity import op9_toxicity
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op4_quality": op4_quality,
+    "op5_perplexity": op5_perplexity,
     "op6_pii": op6_pii,
     "op7_sharding": op7_sharding,
     "op8_decontamination": op8_decontamination,
