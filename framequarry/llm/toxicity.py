@@ -16,10 +16,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framequarry.llm.common import held_out, spread_sample, table
+from framequarry.llm.common import held_out, labelled_sample, table
 from framequarry.llm.textnum import LOWER, mix, slices, span_hashes, words
 
-PER_CLASS, FIT_CHARS = 3000, 60_000
+PER_CLASS, FIT_CHARS = 3000, 30_000
 #: FTRL's alpha, beta, L1, L2 and passes over the sample.
 ALPHA, BETA, L1, L2, PASSES = 3.0, 1.0, 12.0, 0.0, 10
 SKIPS = (1, 2, 3)
@@ -81,22 +81,34 @@ def ftrl(examples: list[np.ndarray], y: np.ndarray, n: int) -> np.ndarray:
     return np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(g2)) / ALPHA + L2))
 
 
-def fit_toxicity(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id") -> FtrlModel:
-    """Fits on at most PER_CLASS rows of each label 0 and 1 of ``labelled``, of at most FIT_CHARS characters."""
-    rows = labelled.where(F.col(label).isin(0, 1) & (F.length(text) <= FIT_CHARS)).select(key, text, label)
-    picked = spread_sample(rows, F.col(label), PER_CLASS, F.xxhash64(key, text)).orderBy(F.xxhash64(key, text)).collect()
-    y = np.array([float(r[label]) for r in picked])
+def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id") -> FtrlModel:
+    """Fits on at most PER_CLASS rows of each label 0 and 1, of at most FIT_CHARS characters."""
+    picked = labelled_sample(docs, labels, label, PER_CLASS, FIT_CHARS, key, text)
+    y = np.array([float(r["fq_label"]) for r in picked])
     if not len(y) or y.min() == y.max():
         return FtrlModel(np.zeros(0, np.uint64), np.zeros(0), -30.0)
     col = pa.array([r[text] for r in picked], pa.large_string())
-    parts = [(v, row + i) for i, _, data, off in slices(col) for v, row in [features(data, off)]]
+    del picked
+    # A feature of one or two rows says little about others. A table of small counters, which never counts too few,
+    # drops most of them before the exact count, so that the driver doesn't hold them all at once.
+    seen = np.zeros(1 << 24, np.uint16)
+    for _, _, data, off in slices(col):
+        at, n = np.unique(features(data, off)[0] & np.uint64((1 << 24) - 1), return_counts=True)
+        seen[at] = np.minimum(seen[at].astype(np.int64) + n, 60000)
+    parts = []
+    for i, _, data, off in slices(col):
+        v, r = features(data, off)
+        ok = seen[v & np.uint64((1 << 24) - 1)] > 2
+        parts.append((v[ok], (r[ok] + i).astype(np.int32)))
     value, row = np.concatenate([v for v, _ in parts]), np.concatenate([r for _, r in parts])
-    # A feature of one or two rows says little about others.
-    keys, at, n = np.unique(value, return_inverse=True, return_counts=True)
-    often = n > 2
-    new = np.cumsum(often)
-    keep = often[at]
-    at, row, keys = new[at[keep]], row[keep], keys[often]
+    del parts, seen, col
+    keys, n = np.unique(value, return_counts=True)
+    keys = keys[n > 2]
+    if not len(keys):
+        return FtrlModel(np.zeros(0, np.uint64), np.zeros(0), -30.0)
+    at = np.minimum(np.searchsorted(keys, value), len(keys) - 1)
+    keep = keys[at] == value
+    at, row = at[keep] + 1, row[keep]
     ends = np.searchsorted(row, np.arange(len(y)), side="right")
     w = ftrl([np.append(x, 0) for x in np.split(at, ends[:-1])], y, len(keys) + 1)
     on = w[1:] != 0
@@ -121,7 +133,6 @@ def score_toxicity(df: DataFrame, model: FtrlModel, text: str = "text", threshol
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    known = labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    labelled = docs.select("doc_id", "text").join(known, "doc_id")
-    out = score_toxicity(docs.select("doc_id", "text"), fit_toxicity(labelled))
+    model = fit_toxicity(docs, labels.where(~held_out(F.col("doc_id"))))
+    out = score_toxicity(docs.select("doc_id", "text"), model)
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
