@@ -65,7 +65,7 @@ class Measures:
         w = np.maximum(self.n_words, 1)
         self.repeats = np.bincount(row, weights=again, minlength=n) / w
         both = np.unique((row.astype(np.uint64) << np.uint64(40)) | (h >> np.uint64(24)))
-        distinct = np.bincount((both >> np.uint64(40)).astype(np.int64), minlength=n) / w
+        distinct = (np.bincount((both >> np.uint64(40)).astype(np.int64), minlength=n) + 20) / (w + 20)
         share = lambda t: self._sum(t[data]) / np.maximum(self.size, 1)
         lines = self._sum((data == 10).astype(float)) + 1
         self.meta = np.column_stack([
