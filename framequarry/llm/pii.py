@@ -274,5 +274,5 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = find_private(docs, fit_field(docs), keep=["doc_id"])
     base = F.filter("spans", lambda s: s["base"])
     line = lambda a: F.array_join(F.transform(a, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in KINDS]
     return out.select("doc_id", "spans", base.alias("base")).select("doc_id", *counts, F.sha2(line(F.col("base")), 256).alias("base_sha256"), line(F.col("spans")).alias("spans"))
