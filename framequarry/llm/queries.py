@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from framequarry.llm.decontamination import ORACLE as OP8_SQL
 from framequarry.llm.decontamination import op8_decontamination
+from framequarry.llm.jaccard import op3_jaccard
 from framequarry.llm.language_id import op10_language_id
 from framequarry.llm.packing import op1_packing
 from framequarry.llm.perplexity import op5_perplexity
@@ -18,6 +19,7 @@ from framequarry.llm.toxicity import op9_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op3_jaccard": op3_jaccard,
     "op4_quality": op4_quality,
     "op5_perplexity": op5_perplexity,
     "op6_pii": op6_pii,
