@@ -16,9 +16,11 @@ from framequarry.llm.pii import op6_pii
 from framequarry.llm.quality import op4_quality
 from framequarry.llm.sharding import op7_sharding
 from framequarry.llm.toxicity import op9_toxicity
+from framequarry.llm.url_filter import op2_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_url_filter": op2_url_filter,
     "op3_jaccard": op3_jaccard,
     "op4_quality": op4_quality,
     "op5_perplexity": op5_perplexity,
