@@ -6,6 +6,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from framequarry.schemas import BOXES
 
 
 def laplacian_variance(grid: np.ndarray) -> float:
@@ -18,7 +21,7 @@ def sharpness_of(rgb: bytes, h: int, w: int, step: int = 4) -> float:
     return laplacian_variance(np.frombuffer(rgb, np.uint8).reshape(h, w, 3)[::step, ::step, 1].astype(np.int16))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sharpness(rgb: pd.Series, h: pd.Series, w: pd.Series) -> pd.Series:
     return pd.Series([sharpness_of(b, int(y), int(x)) if b is not None else None for b, y, x in zip(rgb, h, w)])
 
@@ -41,12 +44,12 @@ def mask_of(h: int, w: int, boxes) -> np.ndarray:
     return m
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def mask(h: pd.Series, w: pd.Series, boxes: pd.Series) -> pd.Series:
     return pd.Series([mask_of(int(y), int(x), b).tobytes() for y, x, b in zip(h, w, boxes)])
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def mask_area(h: pd.Series, w: pd.Series, boxes: pd.Series) -> pd.Series:
     return pd.Series([int((mask_of(int(y), int(x), b) > 0).sum()) for y, x, b in zip(h, w, boxes)])
 
@@ -103,7 +106,7 @@ def refine_box(img: np.ndarray, box: list[float], tol: float = 38, wide: float =
     return [float(v) for v in (top / h * 1000, left / w * 1000, bottom / h * 1000, right / w * 1000)]
 
 
-@F.pandas_udf("array<struct<label:string,box:array<double>>>")
+@F.pandas_udf(BOXES)
 def refine_boxes(rgb: pd.Series, h: pd.Series, w: pd.Series, boxes: pd.Series) -> pd.Series:
     """Graphic overlays refined, other boxes as they are."""
     out = []
@@ -113,7 +116,7 @@ def refine_boxes(rgb: pd.Series, h: pd.Series, w: pd.Series, boxes: pd.Series) -
     return pd.Series(out)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def inpaint_mean(rgb: pd.Series, m: pd.Series) -> pd.Series:
     """Stand-in for an inpainting model: masked pixels take the mean colour of the others."""
     out = []
