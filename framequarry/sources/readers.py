@@ -74,8 +74,14 @@ def jsonl_map(spark: SparkSession, path: str, key: str, value: str, schema: T.St
 
 
 def status_table(spark: SparkSession, folder: str) -> DataFrame:
-    """video_id and status of marker files ``<id>.done`` and ``<id>.failed``."""
-    names = listing(spark, folder, "*.{done,failed}").select("name")
+    """video_id and status of marker files ``<id>.done`` and ``<id>.failed``.
+
+    Markers are empty files, which scans leave out, so the file system is asked for the names; a status table in
+    place of markers needs no listing.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/*.{{done,failed}}")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    names = spark.createDataFrame([(f.getPath().getName(),) for f in found or [] if not f.getPath().getName().startswith(".")], "name string")
     return names.select(F.regexp_extract("name", r"^(.*)\.(done|failed)$", 1).alias("video_id"), F.regexp_extract("name", r"\.(done|failed)$", 1).alias("status"))
 
 
