@@ -8,7 +8,7 @@ in a base span becomes one if its label is certain and a chain of skip edges tie
 a second mention without its prefix, say. So texts without base spans never gain any.
 
 Weights (unary by word shape, chain and skip by label pair) are fitted by pseudo-likelihood on the base labels of a
-bounded sample: ``FIT_DOCS`` documents with base spans, none longer than ``FIT_CHARS``. All texts are searched whole, in time
+bounded sample: ``FIT_DOCS`` documents with base spans, none longer than ``FIT_CHARS``; unlabelled repeats of labelled words are left out. All texts are searched whole, in time
 linear in their length; edges are as many as words.
 
 Defined results: null or empty text has no spans; offsets count code points, the end is exclusive; repeated rows each get their spans.
@@ -139,15 +139,18 @@ def _soft(z: np.ndarray) -> np.ndarray:
 class SkipChainField:
     """Log potentials: unary (shapes x labels), chain (labels x labels, directed) and skip (labels x labels, symmetric)."""
 
-    def __init__(self, graph: Graph, rounds: int = 200):
+    def __init__(self, graph: Graph, rounds: int = 600):
         y, x = np.array(graph.seen, int), np.array(graph.shape, float).reshape(len(graph.seen), len(shape("")))
         hot = np.eye(N_LABELS)[y]
         self.unary, self.chain, self.skip = np.zeros((x.shape[1], N_LABELS)), np.zeros((N_LABELS, N_LABELS)), np.eye(N_LABELS)
         a, s = np.array(graph.chain, int).reshape(-1, 2), np.array(graph.skip, int).reshape(-1, 2)
+        # A word that no pattern labels but that repeats a labelled one may be either: it doesn't count as an example.
+        sure = (y > 0) | ~tied(graph).any(1)
+        a, s = a[sure[a].all(1)], s[sure[s].all(1)]
         around = lambda e, to, of: _gather(len(y), e[:, to], hot[e[:, of]])
         left, right, far = around(a, 1, 0), around(a, 0, 1), around(s, 1, 0) + around(s, 0, 1)
         for _ in range(rounds if len(y) else 0):
-            err = hot - _soft(x @ self.unary + left @ self.chain + right @ self.chain.T + far @ self.skip)
+            err = (hot - _soft(x @ self.unary + left @ self.chain + right @ self.chain.T + far @ self.skip)) * sure[:, None]
             step = 2.0 / len(y)
             self.unary += step * (x.T @ err) - 1e-3 * self.unary
             self.chain += step * (left.T @ err + err.T @ right) - 1e-3 * self.chain
