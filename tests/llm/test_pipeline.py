@@ -1,0 +1,29 @@
+"""The pipeline on the driver's smallest tables, and each filtering stage's effect."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+corpus_pipeline = pytest.importorskip("corpus_pipeline")
+DIR = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(DIR), reason="the driver's tables aren't here")
+def test_stages(spark):
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, DIR).cache()
+        assert tuple(out.columns) == corpus_pipeline.COLUMNS and 0 < out.count() <= docs.count(), name
+        docs = out
+    assert docs.where(F.col("text").rlike(r"[a-z0-9]@[a-z0-9-]+\.[a-z]")).count() == 0
+    packed = corpus_pipeline.pack(spark, docs, DIR)
+    assert packed.agg(F.sum("length")).first()[0] == packed.where("start = 0").agg(F.sum("doc_tokens")).first()[0]
+    assert packed.select("doc_id").distinct().count() == docs.count()
+
+
+def test_one_of_each_group(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text, "en", "s", 1), (2, text + " more", "en", "s", 1), (2, text + " more", "en", "s", 1), (3, "other words", "en", "s", 1), (None, text, "en", "s", 1), (4, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(str(r.doc_id) for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect()) == ["1", "3", "4", "None"]
