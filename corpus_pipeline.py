@@ -26,13 +26,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id; of repeated ids one row. Rows without id or words stay."""
+    """Of each group of near duplicates the document with the smallest id, of repeated rows one; rows without words stay.
+
+    A row is known by its id and a hash of its text, so that two texts under one id are two documents.
+    """
     docs = docs.select(*COLUMNS)
-    ids = near_duplicates(docs.where("doc_id is not null"))
-    # Ids are unique here, whatever the input repeats, so this join has at most the repeated rows of one id in a task.
-    keep = ids.groupBy("doc_id").agg(F.min("component_id").alias("least")).where("least = doc_id").select("doc_id")
-    first = docs.where("doc_id is not null").join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.unionByName(docs.where("doc_id is null")).select(*COLUMNS)
+    number = F.coalesce(F.lpad(F.col("doc_id").cast("string"), 20, "0"), F.lit("none"))
+    keyed = docs.withColumn("fq_key", F.concat(number, F.lit(":"), F.hex(F.xxhash64("text"))))
+    groups = near_duplicates(keyed, doc_id="fq_key").where("component_id = doc_id").select(F.col("doc_id").alias("fq_key")).distinct()
+    return keyed.join(groups, "fq_key", "left_semi").dropDuplicates(["fq_key"]).select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
