@@ -25,3 +25,10 @@ def last_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def first_seen(df: DataFrame, value: str, order: str) -> DataFrame:
     """Distinct values with the ordinal at which each is first seen."""
     return df.groupBy(value).agg(F.min(order).alias("first_seen"), F.count("*").alias("n"))
+
+
+def flatten(files: DataFrame, folder: str) -> DataFrame:
+    """Files of many folders put into one, the first path of each name (no clobbering): path, name and target."""
+    from framequarry.functions.ids import repoint
+
+    return keep_first(files, ["name"], ["path"]).withColumn("target", repoint(folder, F.col("name")))

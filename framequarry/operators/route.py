@@ -52,3 +52,17 @@ def prune_plan(videos: DataFrame, done: DataFrame, key: str = "id") -> DataFrame
 
 def freed(plan: DataFrame) -> DataFrame:
     return plan.agg(F.count("*").alias("files"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"))
+
+
+def audit(classified: DataFrame, key: str, keep: int = 200, drop: int = 100, seed: int = 0) -> DataFrame:
+    """Rows for a human to look at: a stable sample of those kept and of those dropped."""
+    from framequarry.operators.shard import seeded_sample
+
+    parts = [seeded_sample(classified.where(F.col("filter_status") == s), key, n, seed) for s, n in (("KEEP", keep), ("DROP", drop))]
+    return parts[0].unionByName(parts[1])
+
+
+def throughput(done: DataFrame, started: float, now: float, total: int) -> DataFrame:
+    """rows, rows a second and seconds left of a running step."""
+    out = done.agg(F.count("*").alias("done")).withColumn("rate", F.round(F.col("done") / max(1e-9, now - started), 3))
+    return out.withColumn("eta_seconds", F.round((total - F.col("done")) / F.greatest(F.col("rate"), F.lit(1e-9)), 1))

@@ -195,3 +195,16 @@ def test_attempt_state_and_upsert_stream(spark, tmp_path):
     counts = streams.count_attempts(q.select(F.split("id", "-")[0].alias("id")), 2)
     counts.writeStream.format("memory").queryName("tries").outputMode("update").option("checkpointLocation", str(tmp_path / "cp2")).trigger(availableNow=True).start().awaitTermination()
     assert spark.table("tries").groupBy("id").agg(F.max("tries").alias("t")).where("t = 2").count() == 2
+
+
+def test_flatten_audit_and_cli(spark, tmp_path):
+    from framequarry import cli
+
+    files = spark.createDataFrame([("b/x.jpg", "x.jpg", 2), ("a/x.jpg", "x.jpg", 1)], "path string, name string, size long")
+    assert [tuple(r) for r in dedup.flatten(files, "frames").collect()] == [("a/x.jpg", "x.jpg", 1, "frames/x.jpg")]
+    status = spark.createDataFrame([(i, "KEEP" if i % 2 else "DROP") for i in range(50)], "image_id int, filter_status string")
+    assert route.audit(status, "image_id", 5, 3).groupBy("filter_status").count().where("count in (5, 3)").count() == 2
+    assert route.throughput(status, 0.0, 10.0, 100).first().eta_seconds == 10.0
+    assert cli.main(["init", str(tmp_path / "p")]) == 0 and (tmp_path / "p" / "framequarry.toml").exists()
+    assert readers.config(str(tmp_path / "p" / "framequarry.toml"), cli.DEFAULTS) == cli.DEFAULTS
+    assert cli.main(["run", "completion_barrier", "/root/testdata/sf0.001", "--out", str(tmp_path / "o")]) == 0
