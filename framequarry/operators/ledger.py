@@ -26,7 +26,7 @@ def union_reports(frames: list[DataFrame | None]) -> DataFrame:
 
 def missing(remote: DataFrame, known: DataFrame) -> DataFrame:
     """Distinct remote ids that aren't known, in order."""
-    return remote.select("id").exceptAll(known.select("id").distinct()).distinct().orderBy("id") if remote.columns else remote
+    return remote.select("id").subtract(known.select("id")).orderBy("id")
 
 
 def requeue(sent: DataFrame, failed: DataFrame) -> DataFrame:
