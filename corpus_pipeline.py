@@ -65,5 +65,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch, docs = Scratch(spark), table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = scratch.write(stage(spark, docs, sf_dir))
+        before, docs = docs, scratch.write(stage(spark, docs, sf_dir))
+        scratch.drop(before)  # the stage is written, nothing reads its input any more
     return docs
