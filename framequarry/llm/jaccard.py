@@ -10,12 +10,14 @@ Method: size-banded tiles with hashed bitmap signatures and exact verification,
 3. Documents of equal sets become one node (128-bit signature of the set).
 4. Tiles: nodes by prefix shingle and size band; bands are a quarter wide, so that sets that link are in the same or in
    neighbouring bands, and a node is in its own band's tile and the next one's.
-5. Rounds. Each tile names leaders, one in the first round and eight times as many in each later one. Pairs of a leader
-   and another node of its tile, of different components and suitable sizes, are bounded from above by bit counts of their
-   signatures (parity bitmaps: at least as many elements differ as bits do); what passes is verified by intersecting the
-   sorted arrays. Verified links merge components. A leader has then met its whole tile and leaves it; a tile whose
-   nodes are all of one component is done. So a group of near copies costs about one comparison for each member and no
-   pairs within it are spelled out, while no pair of different components is left unchecked.
+5. Leaders. Each tile first names one leader, then ``LEADERS`` more. Pairs of a leader and another node of its tile, of
+   different components and suitable sizes, are bounded from above by bit counts of their signatures (parity bitmaps: at
+   least as many elements differ as bits do); what passes is verified by intersecting the sorted arrays, and links of the
+   first round merge components. A leader has then met its whole tile and leaves it; a tile whose nodes are all of one
+   component is done. So a group of near copies costs about one comparison for each member.
+   Blocks. Tiles that still hold several components are dealt out in pairs of blocks of about ``BLOCK`` nodes. A block
+   bounds all its pairs by bit counts and, where any passes, gets the exact sizes of all common parts of the nodes
+   concerned from one product of incidence matrices. Only links leave it. No pair of different components is left unchecked.
 6. Components: large-star and small-star steps over the links of representatives.
 
 Nothing is gathered on the driver; tables between steps are in the shared folder.
@@ -38,8 +40,9 @@ from framequarry.llm.common import Scratch, table
 from framequarry.llm.textnum import LOWER, mix, shingles, slices, span_hashes, words
 
 K, PERCENT = 5, 80
-CHUNK_BYTES, RANGE_BYTES, CHUNK_DOCS = 16 << 20, 16 << 20, 60_000
+CHUNK_BYTES, RANGE_BYTES, CHUNK_DOCS = 8 << 20, 8 << 20, 60_000
 TOKEN_BITS, BAND, BITMAP = 48, 1.26, 1024
+LEADERS, BLOCK, COLUMNS = 24, 512, 8192
 _MANY = 65_535
 _TOKEN = np.uint64((1 << TOKEN_BITS) - 1)
 
@@ -81,7 +84,8 @@ def _send(ranges: int, id_type: pa.DataType):
     edges = np.array([(b << TOKEN_BITS) // ranges for b in range(ranges + 1)], np.uint64)
 
     def flush(chunk: int, ids: list, parts: list, n_docs: int):
-        t, d = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        t, d = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]).astype(np.int32)
+        parts.clear()
         sizes = np.bincount(d, minlength=n_docs)
         sig = _signature(t, d, n_docs)
         order = np.argsort(t, kind="stable")
@@ -115,7 +119,7 @@ def _send(ranges: int, id_type: pa.DataType):
                     yield from flush(chunk, ids, parts, n)
                     chunk, ids, parts, n, size = chunk + 1, [], [], 0, 0
                 ids.append(b.column(0).slice(i, j - i))
-                parts.append((t, row + n))
+                parts.append((t, (row + n).astype(np.int32)))
                 n, size = n + j - i, size + 8 * len(t)
         if n:
             yield from flush(chunk, ids, parts, n)
@@ -162,7 +166,7 @@ def bitmaps(tokens: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return np.packbits(odd.astype(bool), axis=1)
 
 
-NODE_FIELDS = [("n", T.LongType()), ("sig", T.BinaryType()), ("tokens", T.BinaryType()), ("prefix", T.BinaryType()), ("bits", T.BinaryType())]
+NODE_FIELDS = [("n", T.LongType()), ("own", T.IntegerType()), ("sig", T.BinaryType()), ("tokens", T.BinaryType()), ("prefix", T.BinaryType()), ("bits", T.BinaryType())]
 
 
 def _assemble(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -204,7 +208,7 @@ def _assemble(pdf: pd.DataFrame) -> pd.DataFrame:
             out["tokens"][i] = ts[at[i] : at[i + 1]].astype("<u8").tobytes()
             out["prefix"][i] = tf[at[i] : at[i] + first[i]].astype("<u8").tobytes()
             out["bits"][i] = bits[k].tobytes()
-    return pd.DataFrame({"doc_id": pd.Series(ids, dtype=object), "n": size, "sig": [s.tobytes() if n else None for s, n in zip(sig, size)], **out})
+    return pd.DataFrame({"doc_id": pd.Series(ids, dtype=object), "n": size, "own": (size - shared).astype(np.int32), "sig": [s.tobytes() if n else None for s, n in zip(sig, size)], **out})
 
 
 def shingle_table(df: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -233,7 +237,7 @@ def _tiles(batches):
         tile = np.concatenate([mix(t * np.uint64(2654435761) + (band + np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15)) for k in (0, 1)])
         at = np.concatenate([at, at])
         for i in range(0, len(at), 200_000):
-            yield pa.RecordBatch.from_arrays([pa.array(tile[i : i + 200_000].view(np.int64)), b.column(0).take(pa.array(at[i : i + 200_000])), pa.array(n[at[i : i + 200_000]])], names=["tile", "sig", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(tile[i : i + 200_000].view(np.int64)), b.column(0).take(pa.array(at[i : i + 200_000])), pa.array(n[at[i : i + 200_000]]), b.column(3).take(pa.array(at[i : i + 200_000]))], names=["tile", "sig", "n", "own"])
 
 
 def _may_link(batches):
@@ -256,9 +260,42 @@ def _verify(batches):
         yield b.select(["a", "b"]).filter(pa.array(hit))
 
 
+def _block(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Links among the nodes of a pair of blocks of a tile."""
+    pdf = pdf.drop_duplicates("sig")
+    n, root, side = pdf["n"].to_numpy(), pd.factorize(pdf["root"])[0], pdf["side"].to_numpy()
+    mixed = len(set(side)) > 1
+    bits = np.frombuffer(b"".join(pdf["bits"]), np.uint64).reshape(len(pdf), -1)
+    maybe = np.zeros((len(pdf), len(pdf)), bool)
+    for i in range(len(pdf) - 1):
+        common = (n[i] + n[i + 1 :] - np.bitwise_count(bits[i] ^ bits[i + 1 :]).sum(1)) // 2
+        ok = (100 * common >= PERCENT * (n[i] + n[i + 1 :] - common)) & (root[i + 1 :] != root[i])
+        maybe[i, i + 1 :] = ok & (side[i + 1 :] != side[i]) if mixed else ok
+    at = np.flatnonzero(maybe.any(0) | maybe.any(1))
+    if not len(at):
+        return pd.DataFrame({"a": [], "b": []})
+    toks = [np.frombuffer(pdf["tokens"].iloc[i], "<u8") for i in at]
+    t, row = np.concatenate(toks), np.repeat(np.arange(len(at)), [len(x) for x in toks])
+    keys, col, often = np.unique(t, return_inverse=True, return_counts=True)
+    keep = often[col] > 1
+    col, row = (np.cumsum(often > 1) - 1)[col[keep]], row[keep]
+    order = np.argsort(col, kind="stable")
+    col, row = col[order], row[order]
+    common = np.zeros((len(at), len(at)))
+    for lo in range(0, int(col[-1]) + 1 if len(col) else 0, COLUMNS):
+        here = slice(*np.searchsorted(col, [lo, lo + COLUMNS]))
+        m = np.zeros((len(at), COLUMNS), np.float32)
+        m[row[here], col[here] - lo] = 1
+        common += m @ m.T
+    total = n[at][:, None] + n[at][None, :] - common
+    i, j = np.nonzero(maybe[np.ix_(at, at)] & (100 * common >= PERCENT * total))
+    sig = pdf["sig"].to_numpy()[at]
+    return pd.DataFrame({"a": sig[i], "b": sig[j]})
+
+
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """node and its component's smallest node, for every node of ``edges`` (columns a and b)."""
-    e = scratch.write(edges.where("a <> b").selectExpr("greatest(a, b) as v", "least(a, b) as u").distinct())
+    e = scratch.write(edges.where("a <> b").selectExpr("greatest(a, b) as v", "least(a, b) as u").distinct(), thin=True)
 
     def state(df: DataFrame):
         return df.agg(F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
@@ -269,11 +306,11 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         both = e.selectExpr("v as x", "u as y").unionByName(e.selectExpr("u as x", "v as y"))
         least = both.groupBy("x").agg(F.min("y").alias("y")).selectExpr("x as c", "least(x, y) as m")
         large = both.where("y > x").join(least, both.x == least.c).selectExpr("y as v", "m as u").distinct()
-        large = scratch.write(large)
+        large = scratch.write(large, thin=True)
         # Small star: its smaller neighbours and itself are tied to the smallest of these.
         low = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(low.withColumnRenamed("v", "c"), F.col("v") == F.col("c")).selectExpr("u as v", "m as u").unionByName(low.selectExpr("v", "m as u")).where("v <> u").distinct()
-        new = scratch.write(small)
+        new = scratch.write(small, thin=True)
         scratch.drop(e, large)
         e, now = new, state(new)
         if now == before:
@@ -282,41 +319,54 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     return e.selectExpr("v as node", "u as root").unionByName(e.selectExpr("u as node", "u as root").distinct())
 
 
+def _live(posts: DataFrame, labels: DataFrame | None, round_no: int, leaders: int, scratch: Scratch) -> DataFrame:
+    """The posts of tiles with at least two components, with root, the tile's size and whether the node leads: the one
+    with the fewest elements of its own, likely what the others are copies of, and about ``leaders`` more by hash."""
+    tagged = posts.withColumn("root", F.col("sig"))
+    if labels is not None:
+        tagged = posts.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+    rank = F.xxhash64("sig", F.lit(round_no))
+    first = F.struct("own", rank.alias("rank"))
+    stats = tagged.groupBy("tile").agg(F.count("*").alias("size"), F.min("root").alias("r0"), F.max("root").alias("r1"), F.min(first).alias("lead")).where("r0 <> r1").select("tile", "size", "lead")
+    share = F.lit(float(leaders)) / F.col("size") * float(2**64) - float(2**63)
+    leads = (first == F.col("lead")) | (rank.cast("double") < share)
+    return scratch.write(tagged.join(stats, "tile").withColumn("leads", leads).select("tile", "sig", "n", "own", "root", "size", "leads"))
+
+
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", trace: list | None = None) -> DataFrame:
     """Per row of ``df``: doc_id, n_shingles, component_id. ``trace`` gathers the number of pairs of each round."""
     scratch = Scratch(df.sparkSession)
     rows = scratch.write(shingle_table(df, doc_id, text))
     can = rows.where("prefix is not null")
-    nodes = scratch.write(can.groupBy("sig").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")))
-    posted = nodes.select("sig", "n", "prefix").mapInArrow(_tiles, "tile long, sig binary, n long")
-    links, labels, round_no, per_tile, all_posts = None, None, 0, 1, None
+    nodes = scratch.write(can.groupBy("sig").agg(F.first("n").alias("n"), F.first("own").alias("own"), F.first("tokens").alias("tokens"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")))
+    posted = nodes.select("sig", "n", "prefix", "own").mapInArrow(_tiles, "tile long, sig binary, n long, own int")
     posts = scratch.write(posted)
-    all_posts = posts
-    while True:
-        # The tiles that are left: nodes of at least two components.
-        tagged = posts.withColumn("root", F.col("sig")) if labels is None else posts.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
-        rank = F.xxhash64("sig", F.lit(round_no))
-        stats = tagged.groupBy("tile").agg(F.count("*").alias("size"), F.min("root").alias("r0"), F.max("root").alias("r1"), F.min(rank).alias("lead")).where("r0 <> r1").select("tile", "size", "lead")
-        share = F.lit(float(per_tile)) / F.col("size") * float(2**64) - float(2**63)
-        live = scratch.write(tagged.join(stats, "tile").withColumn("leads", (rank == F.col("lead")) | (rank.cast("double") < share)).select("tile", "sig", "n", "root", "leads"))
-        if live.isEmpty():
-            break
+    side = lambda c, s: nodes.selectExpr(f"sig as {s}", f"{c} as {c}_{s}")
+    links = labels = None
+    for round_no, leaders in enumerate((0, LEADERS)):
+        live = _live(posts, labels, round_no, leaders, scratch)
+        scratch.drop(posts)
         lead = live.where("leads").selectExpr("tile", "sig as ls", "n as ln", "root as lr")
         pairs = live.join(lead, "tile").where("root <> lr").where(f"100 * least(n, ln) >= {PERCENT} * greatest(n, ln)").selectExpr("least(sig, ls) as a", "greatest(sig, ls) as b", "if(sig < ls, n, ln) as na", "if(sig < ls, ln, n) as nb").distinct()
-        side = lambda c, s: nodes.selectExpr(f"sig as {s}", f"{c} as {c}_{s}")
         may = scratch.write(pairs.join(side("bits", "a"), "a").join(side("bits", "b"), "b").mapInArrow(_may_link, "a binary, b binary, na long, nb long"))
         sure = scratch.write(may.join(side("tokens", "a"), "a").join(side("tokens", "b"), "b").mapInArrow(_verify, "a binary, b binary"))
         if trace is not None:
-            trace.append((round_no, per_tile, live.count(), may.count(), sure.count()))
-        scratch.drop(may)
-        links = sure if links is None else scratch.write(links.unionByName(sure))
-        if not sure.isEmpty():
-            labels = scratch.write(components(links, scratch))
-        if posts is not all_posts:
-            scratch.drop(posts)
-        posts = scratch.write(live.where("not leads").select("tile", "sig", "n"))
-        scratch.drop(live)
-        round_no, per_tile = round_no + 1, per_tile * 8
+            trace.append((round_no, live.count(), may.count(), sure.count()))
+        links = sure if links is None else links.unionByName(sure)
+        if labels is None and not sure.isEmpty():
+            labels = scratch.write(components(sure, scratch), thin=True)
+        posts = scratch.write(live.where("not leads").select("tile", "sig", "n", "own"))
+        scratch.drop(live, may)
+    live = _live(posts, labels, 2, 0, scratch)
+    many = F.ceil(F.col("size") / BLOCK)
+    mine = F.pmod(F.xxhash64("sig"), many)
+    dealt = live.withColumns({"many": many, "side": mine}).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("many") - 1)))
+    dealt = dealt.select("tile", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "root", "sig").join(nodes.select("sig", "n", "bits", "tokens"), "sig")
+    found = scratch.write(dealt.groupBy("tile", "lo", "hi").applyInPandas(_block, "a binary, b binary").distinct())
+    if trace is not None:
+        trace.append((2, live.count(), found.count()))
+    if not (found.isEmpty() and sure.isEmpty()):
+        labels = scratch.write(components(links.unionByName(found), scratch), thin=True)
     own = rows.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("first"))
     if labels is not None:
         tied = labels.join(own, F.col("node") == F.col("sig")).select("node", "root", "first")

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE = 2 << 20
+SLICE = 1 << 20
 _MUL = 0x9E3779B97F4A7C15 | 1
 _STEP = 0xD6E8FEB86659FD93 | 1
 _MASK = (1 << 64) - 1
