@@ -80,7 +80,7 @@ def _signature(tokens: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _send(ranges: int, id_type: pa.DataType):
+def _send(ranges: int):
     edges = np.array([(b << TOKEN_BITS) // ranges for b in range(ranges + 1)], np.uint64)
 
     def flush(chunk: int, ids: list, parts: list, n_docs: int):
@@ -94,7 +94,10 @@ def _send(ranges: int, id_type: pa.DataType):
         count = np.diff(np.append(first, len(t)))
         once = count == 1
         home = int(mix(np.array([chunk], np.uint64))[0] % np.uint64(ranges))
-        rows = [(home, chunk, 1, sizes.astype("<i4").tobytes(), sig.astype("<u8").tobytes(), None)]
+        kept, batch = pa.BufferOutputStream(), pa.RecordBatch.from_arrays([pa.chunked_array(ids).combine_chunks()], names=["id"])
+        with pa.ipc.new_stream(kept, batch.schema) as stream:
+            stream.write_batch(batch)
+        rows = [(home, chunk, 1, sizes.astype("<i4").tobytes(), sig.astype("<u8").tobytes(), kept.getvalue().to_pybytes())]
         local = np.repeat(~once, count)
         rows.append((home, chunk, 2, pack_sorted(t[local]), d[local].astype("<u2").tobytes(), None))
         u, where = t[first], np.where(once, d[first], _MANY).astype("<u2")
@@ -104,11 +107,7 @@ def _send(ranges: int, id_type: pa.DataType):
             if i < j:
                 rows.append((b, chunk, 0, pack_sorted(u[i:j]), where[i:j].tobytes(), count[i:j][~once[i:j]].astype("<u4").tobytes()))
         cols = list(zip(*rows))
-        all_ids = pa.chunked_array(ids).combine_chunks() if ids else pa.array([], id_type)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[3:]),
-            pa.array([all_ids.to_pylist(), *[None] * (len(rows) - 1)], pa.list_(id_type)),
-        ], names=["key", *(n for n, _ in PACKED), "ids"])
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[3:])], names=["key", *(n for n, _ in PACKED)])
 
     def run(batches):
         chunk = TaskContext.get().partitionId() << 32
@@ -150,7 +149,7 @@ def _frequencies(pdf: pd.DataFrame) -> pd.DataFrame:
     for k, chunk in enumerate(mine["chunk"]):
         i, j = cut[k], cut[k + 1]
         if i < j:
-            rows.append((chunk, 3, pack_sorted(t[i:j]), docs[i:j].astype("<u2").tobytes(), df[i:j].astype("<u2").tobytes(), None))
+            rows.append((chunk, 3, pack_sorted(t[i:j]), docs[i:j].astype("<u2").tobytes(), df[i:j].astype("<u2").tobytes()))
     return pd.concat([pd.DataFrame(rows, columns=rest.columns), rest]) if len(rest) else pd.DataFrame(rows, columns=rest.columns)
 
 
@@ -173,7 +172,7 @@ def _assemble(pdf: pd.DataFrame) -> pd.DataFrame:
     """One chunk: for each document its set's size and signature, and tokens, prefix and bitmap if it can link."""
     of = {k: g for k, g in pdf.groupby("kind")}
     head = of[1].iloc[0]
-    ids = list(head["ids"])
+    ids = pa.ipc.open_stream(head["counts"]).read_all().column(0).to_pylist()
     size = np.frombuffer(head["tokens"], "<i4").astype(np.int64)
     sig = np.frombuffer(head["docs"], "<u8").reshape(-1, 2)
     t = d = f = np.zeros(0, np.int64)
@@ -217,11 +216,8 @@ def shingle_table(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     total = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_BYTES))
     id_field = src.schema[0]
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    ids = T.StructField("ids", T.ArrayType(id_field.dataType))
-    packed = T.StructType([*(T.StructField(n, t) for n, t in PACKED), ids])
-    sent = src.mapInArrow(_send(ranges, to_arrow_type(id_field.dataType)), T.StructType([T.StructField("key", T.IntegerType()), *packed.fields]))
+    packed = T.StructType([T.StructField(n, t) for n, t in PACKED])
+    sent = src.mapInArrow(_send(ranges), T.StructType([T.StructField("key", T.IntegerType()), *packed.fields]))
     back = sent.groupBy("key").applyInPandas(_frequencies, packed)
     return back.groupBy("chunk").applyInPandas(_assemble, T.StructType([T.StructField("doc_id", id_field.dataType), *(T.StructField(n, t) for n, t in NODE_FIELDS)]))
 

@@ -352,3 +352,9 @@ def test_language_held_out(docs):
     assert all(r.lang_pred == truth[r.doc_id] for r in got if r.doc_id in truth)
     assert {r.lang_pred for r in got if r.doc_id in (900, 901, 902, 950)} == {"und"}
     assert language_id.identify_language(frame, None).select("lang_pred").distinct().collect()[0][0] == "und"
+
+
+def test_jaccard_keeps_large_ids_beside_nulls(docs):
+    big = 2**60 + 1
+    got = {(r.doc_id, r.component_id) for r in jaccard.near_duplicates(docs([(big, "a b c"), (None, "d e f"), (big + 1, "A b C")], 1)).collect()}
+    assert got == {(big, big), (big + 1, big), (None, None)}
