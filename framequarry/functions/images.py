@@ -31,8 +31,9 @@ def grid_sharpness(values: Column, side: int) -> Column:
     at = lambda i, dy, dx: F.element_at(values, (F.least(F.greatest(F.floor(i / side) + dy, F.lit(0)), F.lit(side - 1)) * side + F.least(F.greatest(i % side + dx, F.lit(0)), F.lit(side - 1)) + 1).cast("int")).cast("double")
     lap = F.transform(F.sequence(F.lit(0), F.lit(side * side - 1)), lambda i: at(i, -1, 0) + at(i, 1, 0) + at(i, 0, -1) + at(i, 0, 1) - 4 * at(i, 0, 0))
     n = float(side * side)
-    mean = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x) / n
-    return F.aggregate(lap, F.lit(0.0), lambda s, x: s + (x - mean(lap)) * (x - mean(lap))) / n
+    add = lambda a, x: F.struct((a["s"] + x).alias("s"), (a["q"] + x * x).alias("q"))
+    # Sum and sum of squares in one pass, so that the Laplacian is made once for each row.
+    return F.aggregate(lap, F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("q")), add, lambda a: a["q"] / n - (a["s"] / n) * (a["s"] / n))
 
 
 def mask_of(h: int, w: int, boxes) -> np.ndarray:
