@@ -335,24 +335,21 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", t
     rows = scratch.write(shingle_table(df, doc_id, text))
     can = rows.where("prefix is not null")
     nodes = scratch.write(can.groupBy("sig").agg(F.first("n").alias("n"), F.first("own").alias("own"), F.first("tokens").alias("tokens"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")))
-    posted = nodes.select("sig", "n", "prefix", "own").mapInArrow(_tiles, "tile long, sig binary, n long, own int")
-    posts = scratch.write(posted)
+    posts = nodes.select("sig", "n", "prefix", "own").mapInArrow(_tiles, "tile long, sig binary, n long, own int")
     side = lambda c, s: nodes.selectExpr(f"sig as {s}", f"{c} as {c}_{s}")
     links = labels = None
     for round_no, leaders in enumerate((0, LEADERS)):
         live = _live(posts, labels, round_no, leaders, scratch)
-        scratch.drop(posts)
         lead = live.where("leads").selectExpr("tile", "sig as ls", "n as ln", "root as lr")
         pairs = live.join(lead, "tile").where("root <> lr").where(f"100 * least(n, ln) >= {PERCENT} * greatest(n, ln)").selectExpr("least(sig, ls) as a", "greatest(sig, ls) as b", "if(sig < ls, n, ln) as na", "if(sig < ls, ln, n) as nb").distinct()
-        may = scratch.write(pairs.join(side("bits", "a"), "a").join(side("bits", "b"), "b").mapInArrow(_may_link, "a binary, b binary, na long, nb long"))
+        may = pairs.join(side("bits", "a"), "a").join(side("bits", "b"), "b").mapInArrow(_may_link, "a binary, b binary, na long, nb long")
         sure = scratch.write(may.join(side("tokens", "a"), "a").join(side("tokens", "b"), "b").mapInArrow(_verify, "a binary, b binary"))
         if trace is not None:
             trace.append((round_no, live.count(), may.count(), sure.count()))
         links = sure if links is None else links.unionByName(sure)
         if labels is None and not sure.isEmpty():
-            labels = scratch.write(components(sure, scratch), thin=True)
-        posts = scratch.write(live.where("not leads").select("tile", "sig", "n", "own"))
-        scratch.drop(live, may)
+            labels = components(sure, scratch)
+        posts = live.where("not leads").select("tile", "sig", "n", "own")
     live = _live(posts, labels, 2, 0, scratch)
     many = F.ceil(F.col("size") / BLOCK)
     mine = F.pmod(F.xxhash64("sig"), many)
@@ -362,7 +359,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", t
     if trace is not None:
         trace.append((2, live.count(), found.count()))
     if not (found.isEmpty() and sure.isEmpty()):
-        labels = scratch.write(components(links.unionByName(found), scratch), thin=True)
+        labels = components(links.unionByName(found), scratch)
     own = rows.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("first"))
     if labels is not None:
         tied = labels.join(own, F.col("node") == F.col("sig")).select("node", "root", "first")
