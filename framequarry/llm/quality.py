@@ -29,7 +29,7 @@ from framequarry.llm.common import labelled_sample, spread_sample, table
 from framequarry.llm.dense import inverse
 from framequarry.llm.textnum import LOWER, slices, span_hashes, words
 
-PER_CLASS, POOL, FIT_CHARS = 1200, 3000, 20_000
+PER_CLASS, POOL, FIT_CHARS = 1000, 2000, 20_000
 ROUNDS, PER_ROUND, SURE = 4, 120, 0.97
 DIM, TAGS = 2048, 32
 RESULTS = ("p_text", "p_meta", "quality_score", "kept")
@@ -136,19 +136,27 @@ class QualityModel:
     """Weights of both views, their Platt lines and the line of the mean of both."""
 
     def __init__(self, rows: list[dict], y: np.ndarray):
-        """rows: text, lang and source of the labelled rows and then of the pool; y: labels of the first."""
+        """rows: text, lang and source of the labelled rows and then of the pool (emptied here); y: labels of the first."""
         col = pa.array([r["text"] for r in rows], pa.large_string())
-        found = [Measures(data, off) for _, _, data, off in slices(col)]
-        a = np.vstack([m.text_matrix() for m in found])
-        self.spread = a.std(0) + np.float32(1e-4)
-        a = np.hstack([a / self.spread, np.concatenate([m.repeats for m in found])[:, None] * 10, np.ones((len(rows), 1))]).astype(np.float32)
-        b = np.vstack([m.meta for m in found])
+        # One matrix, filled and scaled in place: it is the largest thing that the driver holds.
+        a, meta = np.ones((len(rows), DIM + 2), np.float32), []
+        for i, j, data, off in slices(col):
+            m = Measures(data, off)
+            a[i:j, :DIM], a[i:j, DIM] = m.text_matrix(), m.repeats * 10
+            meta.append(m.meta)
+        lang, source = [r["lang"] for r in rows], [r["source"] for r in rows]
+        rows.clear()
+        del col
+        mean = a[:, :DIM].mean(0)
+        self.spread = np.sqrt(np.maximum(np.einsum("ij,ij->j", a[:, :DIM], a[:, :DIM]) / len(a) - mean * mean, 0)) + np.float32(1e-4)
+        a[:, :DIM] /= self.spread
+        b = np.vstack(meta)
         self.mean, self.scale = b.mean(0), b.std(0) + 1e-6
-        b = np.hstack([(b - self.mean) / self.scale, tags([r["lang"] for r in rows], [r["source"] for r in rows]), np.ones((len(rows), 1))])
+        b = np.hstack([(b - self.mean) / self.scale, tags(lang, source), np.ones((len(a), 1))])
         n = len(y)
         fit, check = np.arange(n)[np.arange(n) % 4 != 0], np.arange(n)[np.arange(n) % 4 == 0]
         given = [dict(zip(fit.tolist(), y[fit])) for _ in range(2)]
-        free, rate, wa = np.ones(len(rows), bool), y.mean(), None
+        free, rate, wa = np.ones(len(a), bool), y.mean(), None
         free[:n] = False
         for r in range(ROUNDS + 1):
             at = [np.array(list(g)) for g in given]
