@@ -223,7 +223,8 @@ def fit_field(df: DataFrame, text: str = "text", key: str = "doc_id") -> SkipCha
     rows = df.where((F.length(text) <= FIT_CHARS) & F.col(text).rlike(r"@|\+[0-9]|[0-9]{13}|[0-9]\.[0-9]")).select(key, text)
     graph = Graph()
     for i, r in enumerate(spread_sample(rows, F.lit(1), FIT_DOCS, F.xxhash64(key, text)).orderBy(F.xxhash64(key, text)).collect()):
-        graph.add(i, r[text], base_spans(r[text]))
+        if base := base_spans(r[text]):
+            graph.add(i, r[text], base)
     return SkipChainField(graph)
 
 
