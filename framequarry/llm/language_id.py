@@ -64,7 +64,8 @@ class KernelModel:
         marks /= norm
         k_zz = (marks @ marks.T).astype(np.float64)
         # Any root of the inverse gives the same kernel; the Cholesky factor is the cheapest.
-        root = inverse(cholesky(k_zz + 1e-6 * np.eye(len(k_zz)))).T
+        # Near copies among the landmarks make the matrix singular to rounding; the addition keeps its pivots positive.
+        root = inverse(cholesky(k_zz + 1e-3 * np.eye(len(k_zz)))).T
         z = self._kernel(texts, marks) @ root
         z1 = np.hstack([z, np.ones((len(z), 1))])
         penal = np.eye(z1.shape[1]) * RIDGE * len(z)
