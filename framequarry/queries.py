@@ -359,6 +359,46 @@ def attempts_give_up(spark, d):
     return ledger.give_up(_ids(spark, d, "purchase"))
 
 
+# The five above read a part of the events, as their SQL does. These read all of them; ids are users by day.
+_USER_DAY = "user_id || '_' || cast(floor(epoch_us(ts) / 1e6 / 86400) as bigint)"
+
+
+def _user_day():
+    return F.concat(F.col("user_id").cast("string"), F.lit("_"), F.floor(seconds() / DAY).cast("string"))
+
+
+def _all_ids(spark, d, kind):
+    return read(spark, d, "events").where(F.col("event_type") == kind).select(_user_day().alias("id"))
+
+
+@query(f"""with a as (select {_USER_DAY} as k, event_id, value, event_id % 2 as s from events)
+ select k, event_id, value from (select *, row_number() over (partition by k order by s, event_id) as rn from a) where rn = 1""")
+def upsert_keep_first_all(spark, d):
+    e = read(spark, d, "events").select(_user_day().alias("k"), "event_id", "value")
+    old, new = e.where("event_id % 2 = 0").withColumn("s", F.lit(0)), e.where("event_id % 2 <> 0").withColumn("s", F.lit(1))
+    return dedup.keep_first(old.unionByName(new), ["k"], ["s", "event_id"]).drop("s")
+
+
+@query(f"select {_USER_DAY} as id from events where event_type = 'click' union select {_USER_DAY} from events where event_type = 'purchase'")
+def ledger_union_all(spark, d):
+    return ledger.union_distinct(_all_ids(spark, d, "click"), _all_ids(spark, d, "purchase"))
+
+
+@query(f"select {_USER_DAY} as id from events where event_type = 'click' except select {_USER_DAY} from events where event_type = 'purchase'")
+def ledger_requeue_all(spark, d):
+    return ledger.requeue(_all_ids(spark, d, "click"), _all_ids(spark, d, "purchase"))
+
+
+@query(f"with e as (select {_USER_DAY} as id, event_type from events) select distinct id from e where event_type = 'view' and not exists (select 1 from e f where f.id = e.id and f.event_type in ('click', 'purchase'))")
+def ledger_pending_all(spark, d):
+    return joins.pending(_all_ids(spark, d, "view").distinct(), _all_ids(spark, d, "click"), _all_ids(spark, d, "purchase"))
+
+
+@query(f"select {_USER_DAY} as id, count(*) as tries, count(*) >= 3 as given_up from events where event_type = 'purchase' group by 1")
+def attempts_give_up_all(spark, d):
+    return ledger.give_up(_all_ids(spark, d, "purchase"))
+
+
 @query("""with l as (select l_orderkey, count(*) as n from lineitem group by 1) select o_orderkey as k, cast(o_orderkey % 8 as bigint) as size, coalesce(n, 0) as remote_size from orders left join l on o_orderkey = l_orderkey where cast(o_orderkey % 8 as bigint) is distinct from coalesce(n, 0)""")
 def pending_reconcile(spark, d):
     local = read(spark, d, "orders").select(F.col("o_orderkey").alias("k"), (F.col("o_orderkey") % 8).alias("size"))
