@@ -1,8 +1,8 @@
 """URL filters (2): rules first, then a path-template tree for each host, judged by smoothed labelled purity.
 
-Tree. Level by level, the children of a node (host and template so far) are counted; where a node has many children of
-which few come back (at least ``MIN_CHILDREN`` distinct, at most ``MAX_MEAN`` pages each), its segments are variable and
-become the wildcard ``*``. What lies below ``DEPTH`` segments is one tail ``**``. A page's leaf is the template of its whole path.
+Tree. Level by level, the children of a node (host and template so far) are counted; where a node has at least
+``MIN_CHILDREN`` distinct ones and either at most ``MAX_MEAN`` distinct paths each or a digit in half of them, its segments
+are variable and become the wildcard ``*``. Neither repeated pages nor, for ids with digits, more pages below change that. What lies below ``DEPTH`` segments is one tail ``**``. A page's leaf is the template of its whole path.
 
 Merging. Sibling leaves of a host are similar if they differ in their first literal segment only and their labelled rates can't be
 told apart: both unlabelled, or the same half of the scale after smoothing with z-wide bounds. They share one branch.
@@ -10,10 +10,11 @@ told apart: both unlabelled, or the same half of the scale after smoothing with
 Verdict. A branch is rejected if (bad + M * prior) / (labelled + M) is at least ``REJECT``, where the prior is the bad share of all
 labelled pages, but at most a half, so that a branch without labels is never rejected. Labels come with the input (``bad``: 1, 0 or null); the query labels pages by its rules, whose verdict stands.
 
+A url counts once in the tree and in the purities, with the mean of the labels of its rows, so copies of pages don't add weight.
 Every count is a partial aggregation, so a host with a third of all pages is spread over all tasks.
 
 Defined results: a null url, or one without ``://``, has empty host and path; an empty path is the template of the host
-itself; repeated rows are counted as often as they occur; an empty table gives an empty result; other columns of the
+itself; repeated rows each have a result and count as one; an empty table gives an empty result; other columns of the
 input are kept, those named like results are replaced.
 """
 
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from framequarry.llm.common import Scratch, table
 
-DEPTH, MIN_CHILDREN, MAX_MEAN = 6, 8, 4.0
+DEPTH, MIN_CHILDREN, MAX_MEAN, DIGITS = 6, 8, 4.0, 0.5
 M, REJECT, Z = 5.0, 0.8, 1.96
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 RESULTS = ("host", "path", "rule", "template", "branch", "bad_share", "verdict")
@@ -58,8 +59,10 @@ def templates(pages: DataFrame) -> DataFrame:
         on = level.where(F.size("fq_segs") > d).withColumn("fq_seg", F.get("fq_segs", F.lit(d)))
         if on.isEmpty():
             break
-        children = on.groupBy("host", "template", "fq_seg").agg(F.count("*").alias("n")).groupBy("host", "template").agg(F.count("*").alias("kinds"), F.sum("n").alias("n"))
-        variable = children.where(f"kinds >= {MIN_CHILDREN} and n <= {MAX_MEAN} * kinds").select(F.col("host").alias("fq_h"), F.col("template").alias("fq_t"))
+        paths = on.select("host", "template", "fq_seg", "path").distinct()
+        segments = paths.groupBy("host", "template", "fq_seg").agg(F.count("*").alias("n"))
+        children = segments.groupBy("host", "template").agg(F.count("*").alias("kinds"), F.sum("n").alias("n"), F.count_if(F.col("fq_seg").rlike("[0-9]")).alias("digits"))
+        variable = children.where(f"kinds >= {MIN_CHILDREN} and (n <= {MAX_MEAN} * kinds or digits >= {DIGITS} * kinds)").select(F.col("host").alias("fq_h"), F.col("template").alias("fq_t"))
         joined = on.join(variable, (F.col("host") == F.col("fq_h")) & (F.col("template") == F.col("fq_t")), "left")
         step = F.concat("template", F.lit("/"), F.when(F.col("fq_h").isNotNull(), "*").otherwise(F.col("fq_seg")))
         level = scratch.write(joined.withColumn("template", step).drop("fq_h", "fq_t", "fq_seg"))
@@ -71,8 +74,9 @@ def templates(pages: DataFrame) -> DataFrame:
 
 
 def judge_templates(pages: DataFrame) -> DataFrame:
-    """host, template, branch and bad_share of every leaf; ``pages`` has host, template and bad (1, 0 or null)."""
-    leaves = pages.groupBy("host", "template").agg(F.count("*").alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
+    """host, template, branch and bad_share of every leaf; ``pages`` has host, template, fq_url and bad (1, 0 or null)."""
+    urls = pages.groupBy("host", "template", "fq_url").agg(F.avg("bad").alias("bad"))
+    leaves = urls.groupBy("host", "template").agg(F.count("*").alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
     total = leaves.agg(F.sum("labelled").alias("t_labelled"), F.sum("bad").alias("t_bad"))
     prior = F.least(F.lit(0.5), F.coalesce(F.try_divide("t_bad", "t_labelled"), F.lit(0.0)))
     leaves = leaves.join(F.broadcast(total.select(prior.alias("prior"))))  # one row
@@ -93,7 +97,7 @@ def filter_urls(df: DataFrame, rules: list[tuple[str, str]], url: str = "url") -
     pages = pages.withColumn("fq_rule", rule_of(rules, F.col("host"), F.col("path")))
     bad = F.when(F.col("fq_rule").isNotNull(), (F.col("fq_rule.verdict") == "block").cast("int"))
     leafed = templates(pages.withColumn("bad", bad) if "bad" not in df.columns else pages)
-    judged = judge_templates(leafed.select("host", "template", "bad")).withColumnsRenamed({"host": "fq_h", "template": "fq_t"})
+    judged = judge_templates(leafed.select("host", "template", F.col(url).alias("fq_url"), "bad")).withColumnsRenamed({"host": "fq_h", "template": "fq_t"})
     out = leafed.join(judged, (F.col("host") == F.col("fq_h")) & (F.col("template") == F.col("fq_t"))).drop("fq_h", "fq_t")
     verdict = F.coalesce(F.col("fq_rule.verdict"), F.when(F.col("bad_share") >= REJECT, "block").otherwise("allow"))
     out = out.withColumns({"rule": F.col("fq_rule.rule"), "verdict": verdict}).drop("fq_rule")
