@@ -1,7 +1,7 @@
 """Command line: starter files, pending ids, status, and running a registered query.
 
     python -m framequarry.cli init FOLDER
-    python -m framequarry.cli pending URLS --ledger FILE --ledger FILE
+    python -m framequarry.cli pending URLS --ledger FILE --ledger FILE --out FOLDER
     python -m framequarry.cli status MARKERS --expected N
     python -m framequarry.cli run QUERY TABLES --out FOLDER
 """
@@ -34,6 +34,7 @@ def main(args: list[str] | None = None) -> int:
     a = sub.add_parser("pending")
     a.add_argument("urls")
     a.add_argument("--ledger", action="append", default=[])
+    a.add_argument("--out")
     a = sub.add_parser("status")
     a.add_argument("markers")
     a.add_argument("--expected", type=int, required=True)
@@ -52,7 +53,12 @@ def main(args: list[str] | None = None) -> int:
 
     spark = session("framequarry-cli")
     if got.command == "pending":
-        joins.pending(readers.url_list(spark, got.urls), *(readers.ledger(spark, x) for x in got.ledger)).orderBy("ord").select("id").show(1000, False)
+        ids = joins.pending(readers.url_list(spark, got.urls), *(readers.ledger(spark, x) for x in got.ledger)).orderBy("ord").select("id")
+        if got.out:
+            ids.write.mode("overwrite").text(got.out)
+        else:
+            for r in ids.toLocalIterator():
+                print(r.id)
     elif got.command == "status":
         report = route.barrier(readers.status_table(spark, got.markers), got.expected)
         report.show()
