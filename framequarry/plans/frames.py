@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from framequarry import models
 from framequarry.functions.text import verdict_keep_drop, verdict_yes_no
-from framequarry.operators import frames, joins
+from framequarry.operators import frames, joins, route
 
 
 def extract(candidates: DataFrame, playlist: DataFrame, interval: float = 2.0, done: DataFrame | None = None) -> DataFrame:
@@ -32,6 +32,23 @@ def classify(frame_table: DataFrame, done: DataFrame | None = None, model: str =
     return asked.withColumns({"filter_status": verdict(F.col("r.raw")), "raw_response": raw}).drop("r")
 
 
+def detect_people(frame_table: DataFrame, done: DataFrame | None = None, model: str = "person_boxes", least: float = 0.2, batch: int = 32) -> DataFrame:
+    """person_count, max_person_conf, kept and error of frames that aren't counted yet, from the detector's boxes (class, confidence).
+
+    A failed call or a reply that isn't a list of boxes is an error, without counts and not kept; an empty list is a frame without people.
+    """
+    rows = frame_table if done is None else joins.todo(frame_table, done, "image_id")
+    asked = rows.select("image_id").distinct().withColumn("r", models.caller(model, batch)(F.col("image_id")))
+    boxes = F.from_json("r.raw", "array<struct<cls:int,conf:double>>")
+    whole = F.get_json_object("r.raw", "$").startswith("[") & ~F.coalesce(F.exists(boxes, lambda b: b.cls.isNull() | b.conf.isNull()), F.lit(True))
+    bad = F.coalesce(F.col("r.error"), F.when(~F.coalesce(whole, F.lit(False)), "unreadable reply"))
+    read = asked.select("image_id", bad.alias("error"), boxes.alias("boxes"))
+    each = read.where("error is null").select("image_id", F.explode_outer("boxes").alias("b"))
+    counts = route.people_counts(each, "image_id", F.col("b.cls"), F.col("b.conf"), least)
+    failed = read.where("error is not null").select("image_id", "error")
+    return counts.withColumn("error", F.lit(None).cast("string")).unionByName(failed, allowMissingColumns=True).withColumn("kept", F.coalesce("kept", F.lit(0)))
+
+
 def consolidate(frame_table: DataFrame, classified: DataFrame, folder: str = "no_people") -> DataFrame:
     """Metadata of kept frames, re-pointed."""
     from framequarry.functions.ids import repoint

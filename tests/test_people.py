@@ -1,0 +1,23 @@
+import json
+import zlib
+
+from framequarry import models
+from framequarry.plans import frames
+
+
+def test_person_boxes_are_counted(spark):
+    names = [f"v_f{i:06d}" for i in range(300)]
+    conf = {n: zlib.crc32(n.encode()) % 100 / 100 for n in names}
+    table = spark.createDataFrame([(n,) for n in names], "image_id string")
+    got = {r.image_id: r for r in frames.detect_people(table).collect()}
+    assert set(got) == set(names)
+    for n, c in conf.items():
+        assert (got[n].person_count, got[n].max_person_conf, got[n].kept, got[n].error) == ((1, c, 0, None) if c >= 0.2 else (0, 0.0, 1, None))
+
+
+def test_replies_that_cannot_be_read_are_errors(spark):
+    replies = {"none": [], "two": [{"cls": 0, "conf": 0.9}, {"cls": 0, "conf": 0.3}, {"cls": 2, "conf": 0.99}]}
+    models.register("test_boxes", lambda: lambda texts: [json.dumps(replies[t]) if t in replies else {"broken": "no boxes", "object": "{}", "bare": "[1]"}[t] for t in texts])
+    table = spark.createDataFrame([(t,) for t in (*replies, "broken", "object", "bare")], "image_id string")
+    got = {r.image_id: (r.person_count, r.kept, r.error is None) for r in frames.detect_people(table, model="test_boxes").collect()}
+    assert got == {"none": (0, 1, True), "two": (2, 0, True), "broken": (None, 0, False), "object": (None, 0, False), "bare": (None, 0, False)}
