@@ -62,24 +62,32 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("null")).cast("binary")) % 3 == 1
 
 
+#: Up to so many fractions are gathered and become a filter.
+MANY_KEYS = 200
+
+
 def spread_sample(df: DataFrame, key: Column, per_key: int, order: Column) -> DataFrame:
     """About ``per_key`` rows of each value of ``key``, picked by a hash of the row: a pass counts the keys, a filter
-    then keeps the fraction needed, and a window cuts what is left, which is bounded, to ``per_key``."""
+    then keeps the fraction needed, and a window cuts what is left, which is bounded, to ``per_key``. Only keys with more
+    rows than are kept anyway have a fraction; where these are many, the fractions are joined as a table."""
     from pyspark.sql import Window
 
-    counts = [(r["k"], r["n"]) for r in df.select(key.alias("k")).where("k is not null").groupBy("k").agg(F.count("*").alias("n")).collect()]
-    if len(counts) > 2000:
-        raise ValueError(f"{len(counts)} classes; at most 2000 are supported")
-    if not counts:
-        return df.where(F.lit(False))
+    most = 1.5 * per_key + 50
+    counts = df.select(key.alias("__k")).where("__k is not null").groupBy("__k").agg(F.count("*").alias("n"))
+    shares = counts.where(F.col("n") > most).select("__k", (F.lit(most) / F.col("n")).alias("__share"))
+    found = shares.limit(MANY_KEYS + 1).collect()
     two63 = float(2**63)
-    share = F.lit(0.0)
-    for k, n in counts:
-        share = F.when(key == F.lit(k), F.lit(min(1.0, (1.5 * per_key + 50) / n))).otherwise(share)
+    keyed = df.withColumns({"__k": key, "__h": order}).where("__k is not null")
+    if len(found) > MANY_KEYS:
+        keyed = keyed.join(shares, "__k", "left").withColumn("__share", F.coalesce("__share", F.lit(1.0)))
+    else:
+        share = F.lit(1.0)
+        for r in found:
+            share = F.when(F.col("__k") == F.lit(r["__k"]), F.lit(r["__share"])).otherwise(share)
+        keyed = keyed.withColumn("__share", share)
     w = Window.partitionBy("__k").orderBy("__h")
     return (
-        df.withColumns({"__k": key, "__h": order, "__share": share})
-        .where((F.col("__h") / F.lit(two63) + 1) / 2 <= F.col("__share"))
+        keyed.where((F.col("__h") / F.lit(two63) + 1) / 2 <= F.col("__share"))
         .withColumn("__rn", F.row_number().over(w))
         .where(F.col("__rn") <= per_key)
         .drop("__k", "__h", "__share", "__rn")

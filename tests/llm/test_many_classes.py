@@ -1,0 +1,28 @@
+import pytest
+from pyspark.sql import functions as F
+
+from framequarry.llm import language_id
+from framequarry.llm.common import spread_sample
+
+
+@pytest.mark.parametrize("rows", [2, 60])
+def test_any_number_of_classes(spark, rows):
+    df = spark.range(2101 * rows).withColumn("k", F.when(F.col("id") % 7 > 0, F.concat(F.lit("c"), F.col("id") % 2101)))
+    want = {r.k: min(1, r["count"]) for r in df.where("k is not null").groupBy("k").count().collect()}
+    out = spread_sample(df, F.col("k"), 1, F.xxhash64("id"))
+    assert out.columns == ["id", "k"]
+    assert {r.k: r["count"] for r in out.groupBy("k").count().collect()} == want
+
+
+def test_both_ways_pick_the_same_rows(spark, monkeypatch):
+    df = spark.range(3000).withColumn("k", F.col("id") % 3)
+    pick = lambda: sorted(r.id for r in spread_sample(df, F.col("k"), 20, F.xxhash64("id")).collect())
+    filtered = pick()
+    monkeypatch.setattr("framequarry.llm.common.MANY_KEYS", 1)
+    assert pick() == filtered and len(filtered) == 60
+
+
+def test_language_sample_takes_a_dirty_column(spark, docs):
+    rows = [(i, f"word{i} text", f"x-{i}") for i in range(2100)]
+    picked = spread_sample(docs(rows), F.col("lang"), language_id.PER_LANG, F.xxhash64("doc_id", "text"))
+    assert picked.count() == 2100
