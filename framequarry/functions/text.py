@@ -72,11 +72,12 @@ def json_variant(raw: Column) -> Column:
 
 
 def truthy(v: Column, path: str) -> Column:
-    """Python's truth of a member: false, 0, "", null and empty containers are false, "false" is true."""
+    """Python's truth of a member: false, 0, "", null and empty containers are false; "false", "[]" and "{}" are true."""
     kind = F.schema_of_variant(F.try_variant_get(v, path, "variant"))
     as_text = F.try_variant_get(v, path, "string")
     number = F.try_variant_get(v, path, "double")
-    false = kind.isNull() | (kind == "VOID") | as_text.isin("", "[]", "{}") | ((kind == "BOOLEAN") & (as_text == "false")) | (~kind.isin("STRING", "BOOLEAN") & (number == 0))
+    empty = ((kind == "STRING") & (as_text == "")) | (kind.startswith("ARRAY") & (as_text == "[]")) | (kind.startswith("OBJECT") & (as_text == "{}"))
+    false = kind.isNull() | (kind == "VOID") | empty | ((kind == "BOOLEAN") & (as_text == "false")) | (~kind.isin("STRING", "BOOLEAN") & (number == 0))
     return ~F.coalesce(false, F.lit(True))
 
 
@@ -88,6 +89,17 @@ def percent(part: Column, whole: Column, digits: int = 1) -> Column:
     return F.round(part / F.greatest(F.lit(1), whole) * 100, digits)
 
 
+def date_text(ts: Column, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+    """A time as text; null stays null."""
+    return F.date_format(ts, pattern)
+
+
+def size_text(n_bytes: Column) -> Column:
+    """Bytes as ``1.5 GB`` or ``12.0 MB``: gigabytes (2^30) from one on, else megabytes (2^20)."""
+    gb = n_bytes / float(1 << 30)
+    return F.when(gb >= 1, F.format_string("%.1f GB", gb)).otherwise(F.format_string("%.1f MB", n_bytes / float(1 << 20)))
+
+
 def batch_json(items: Column) -> Column:
     """JSON of a batch: an array of structs, sorted."""
     return F.to_json(F.array_sort(F.collect_list(items)))

@@ -14,7 +14,10 @@ def _pick(df: DataFrame, keys: list[str], order: list[str], how) -> DataFrame:
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The first row of each key by ``order``, ties by the other columns; no sort and no window. Columns need to be orderable."""
+    """The first row of each key by ``order``, ties by the other columns. Columns need to be orderable.
+
+    A sort aggregate on the keys picks it before and after the shuffle, so one row for each key and task moves.
+    """
     return _pick(df, keys, order, F.min)
 
 

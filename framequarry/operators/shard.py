@@ -5,45 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from framequarry.scratch import Scratch
 
-def numbered(df: DataFrame, *order: str, name: str = "pos", blocks: int = 256) -> DataFrame:
-    """``df`` with its position from 0 by unique keys ``order``, without one task that sees all rows.
 
-    Quantiles of the first key cut the rows into blocks; ranks are taken within blocks and shifted by the rows before.
-    The quantiles are a bounded sketch, and the result doesn't depend on where they lie. Rows with one first key are one block.
+def numbered(df: DataFrame, *order: str, name: str = "pos") -> DataFrame:
+    """``df`` with its position from 0 by unique keys ``order`` of any type, without one task that sees all rows.
+
+    Rows are dealt out by ranges of ``order`` and sorted within them, once, into a table between steps; every range then
+    starts after the rows of the ranges before it. Nulls come first. The result doesn't depend on where ranges end.
     """
-    first = df.schema[order[0]].dataType.simpleString()
-    if first in ("bigint", "int", "smallint", "double", "float"):
-        cuts = sorted(set(df.approxQuantile(order[0], [i / blocks for i in range(1, blocks)], 0.001))) if not df.isEmpty() else []
-    else:
-        # The sketch is numeric: other types are cut by the leading characters' order.
-        head = F.conv(F.hex(F.rpad(F.left(F.col(order[0]).cast("string"), F.lit(6)).cast("binary"), 6, F.lit(b"\x00"))), 16, 10).cast("double")
-        df, cuts = df.withColumn("fq_head", head), []
-        cuts = sorted(set(df.approxQuantile("fq_head", [i / blocks for i in range(1, blocks)], 0.001))) if not df.isEmpty() else []
-    key = "fq_head" if "fq_head" in df.columns else order[0]
-    at = F.lit(0)
-    if cuts:
-        # A balanced tree of comparisons: log2(blocks) steps for each row.
-        def tree(lo: int, hi: int) -> Column:
-            if lo == hi:
-                return F.lit(lo)
-            mid = (lo + hi) // 2
-            return F.when(F.col(key) <= F.lit(cuts[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
-
-        at = F.when(F.col(key).isNull(), F.lit(-1)).otherwise(tree(0, len(cuts)))
-    placed = df.withColumn("fq_block", at)
-    sizes = placed.groupBy("fq_block").agg(F.count("*").alias("n"))
-    before = sizes.select("fq_block", (F.sum("n").over(Window.orderBy("fq_block")) - F.col("n")).alias("fq_before"))  # one row a block
-    rank = F.row_number().over(Window.partitionBy("fq_block").orderBy(*order))
-    out = placed.withColumn("fq_rank", rank).join(F.broadcast(before), "fq_block")
-    return out.withColumn(name, F.col("fq_before") + F.col("fq_rank") - 1).drop("fq_block", "fq_rank", "fq_before", "fq_head")
+    id_ = F.monotonically_increasing_id()  # the partition in the upper bits, the row in it in the lower 33
+    sorted_ = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = Scratch(df.sparkSession).write(sorted_.withColumns({"fq_part": F.shiftright(id_, 33), "fq_at": id_.bitwiseAND(F.lit((1 << 33) - 1))}))
+    sizes = placed.groupBy("fq_part").agg(F.count("*").alias("fq_n"))
+    before = sizes.select("fq_part", (F.sum("fq_n").over(Window.orderBy("fq_part")) - F.col("fq_n")).alias("fq_before"))  # one row a range
+    return placed.join(before, "fq_part").withColumn(name, F.col("fq_before") + F.col("fq_at")).drop("fq_part", "fq_at", "fq_before")
 
 
 def ceil_shards(df: DataFrame, order: str, shards: int) -> DataFrame:
     """Contiguous shards of ceil(n / shards) rows; the last may be short or empty."""
-    n = df.count()
-    per = max(1, -(-n // shards))
-    return numbered(df, order, name="fq_pos").withColumn("shard", F.floor(F.col("fq_pos") / per).cast("int")).drop("fq_pos")
+    placed = numbered(df, order, name="fq_pos")
+    per = max(1, -(-placed.count() // shards))
+    return placed.withColumn("shard", F.floor(F.col("fq_pos") / per).cast("int")).drop("fq_pos")
 
 
 def round_robin(df: DataFrame, order: str, shards: int) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from framequarry.functions import boxes, ids, images, retry, text
 from framequarry.operators import dedup, frames, joins, ledger, route, shard
+from framequarry.scratch import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -317,7 +318,12 @@ def shard_modulo(spark, d):
     return shard.round_robin(named, "name", 8).select("doc_id", "shard")
 
 
-@query(None)
+#: CRC-32 of a text's UTF-8 bytes in DuckDB: the table by its rule, then one lookup for each byte.
+CRC_TABLE = "list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i))"
+CRC_OF = "xor(list_reduce(list_transform(regexp_extract_all(hex(encode({})), '..'), lambda x: cast('0x' || x as bigint)), lambda c, x: xor(c >> 8, crc_table[1 + (xor(c, x) & 255)]), 4294967295), 4294967295)"
+
+
+@query(f"with t as (select {CRC_TABLE} as crc_table) select doc_id, cast({CRC_OF.format('cast(doc_id as varchar)')} % 8 as int) as shard from documents, t")
 def shard_crc32(spark, d):
     return read(spark, d, "documents").select("doc_id", shard.hash_shard(F.col("doc_id"), 8).alias("shard"))
 
@@ -327,39 +333,44 @@ def seeded_sample(spark, d):
     return shard.seeded_sample(read(spark, d, "documents").select("doc_id", "source"), "doc_id", 100, 7)
 
 
-@query("""with a as (select 0 as s, event_id // 3 as k, event_id, value from events where event_id % 2 = 0 union all select 1, event_id // 3, event_id, value from events where event_id % 3 <> 1)
+@query("""with a as (select event_id % 2 as s, event_id // 3 as k, event_id, value from events)
  select k, event_id, value from (select *, row_number() over (partition by k order by s, event_id) as rn from a) where rn = 1""")
 def upsert_keep_first(spark, d):
     e = read(spark, d, "events").select(F.floor(F.col("event_id") / 3).alias("k"), "event_id", "value")
-    old, new = e.where("event_id % 2 = 0").withColumn("s", F.lit(0)), e.where("event_id % 3 <> 1").withColumn("s", F.lit(1))
+    old, new = e.where("event_id % 2 = 0").withColumn("s", F.lit(0)), e.where("event_id % 2 <> 0").withColumn("s", F.lit(1))
     return dedup.keep_first(old.unionByName(new), ["k"], ["s", "event_id"]).drop("s")
 
 
+# Ledgers over all events; their ids are users by week.
+_USER_WEEK = "user_id || '_' || cast(floor(epoch_us(ts) / 1e6 / 604800) as bigint)"
+
+
 def _ids(spark, d, kind):
-    return read(spark, d, "events").where((F.col("event_type") == kind) & (F.col("event_id") % 40 == 0)).select(F.col("user_id").alias("id"))
+    week = F.concat(F.col("user_id").cast("string"), F.lit("_"), F.floor(seconds() / (7 * DAY)).cast("string"))
+    return read(spark, d, "events").where(F.col("event_type") == kind).select(week.alias("id"))
 
 
-@query("select user_id as id from events where event_type = 'click' and event_id % 40 = 0 union select user_id from events where event_type = 'purchase' and event_id % 40 = 0")
+@query(f"select {_USER_WEEK} as id from events where event_type = 'click' union select {_USER_WEEK} from events where event_type = 'purchase'")
 def ledger_union(spark, d):
     return ledger.union_distinct(_ids(spark, d, "click"), _ids(spark, d, "purchase"))
 
 
-@query("select user_id as id from events where event_type = 'click' and event_id % 40 = 0 except select user_id from events where event_type = 'purchase' and event_id % 40 = 0")
+@query(f"select {_USER_WEEK} as id from events where event_type = 'click' except select {_USER_WEEK} from events where event_type = 'purchase'")
 def ledger_requeue(spark, d):
     return ledger.requeue(_ids(spark, d, "click"), _ids(spark, d, "purchase"))
 
 
-@query("select distinct user_id as id from events e where event_type = 'view' and event_id % 40 = 0 and not exists (select 1 from events f where f.user_id = e.user_id and f.event_id % 40 = 0 and f.event_type in ('click', 'purchase'))")
+@query(f"with e as (select {_USER_WEEK} as id, event_type from events) select distinct id from e where event_type = 'view' and not exists (select 1 from e f where f.id = e.id and f.event_type in ('click', 'purchase'))")
 def ledger_pending(spark, d):
     return joins.pending(_ids(spark, d, "view").distinct(), _ids(spark, d, "click"), _ids(spark, d, "purchase"))
 
 
-@query("select user_id as id, count(*) as tries, count(*) >= 3 as given_up from events where event_type = 'purchase' and event_id % 40 = 0 group by user_id")
+@query(f"select {_USER_WEEK} as id, count(*) as tries, count(*) >= 3 as given_up from events where event_type = 'purchase' group by 1")
 def attempts_give_up(spark, d):
     return ledger.give_up(_ids(spark, d, "purchase"))
 
 
-# The five above read a part of the events, as their SQL does. These read all of them; ids are users by day.
+# The same with users by day.
 _USER_DAY = "user_id || '_' || cast(floor(epoch_us(ts) / 1e6 / 86400) as bigint)"
 
 
@@ -443,8 +454,7 @@ def stream_frames_available_now(spark, d):
 
     from framequarry.streaming.queries import drain, sharpest_stream
 
-    root = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
-    at = f"{root}/stream-{uuid.uuid4().hex}"
+    at = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     src = spark.readStream.schema(spark.read.parquet(f"{d}/events.parquet").schema).option("pathGlobFilter", "events.parquet").parquet(d)
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -15,9 +15,15 @@ from framequarry.functions import ids
 from framequarry.operators.dedup import keep_first, last_wins
 
 
+def file_order() -> Column:
+    """What tells the order of a scan's rows: file, then block of the file, then row. Spark deals files out by size, so a
+    running number alone doesn't follow the files' order."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+
+
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """line and ord; ord follows file and position, which a text scan keeps within and across its splits."""
-    return spark.read.text(path).select(F.col("value").alias("line"), F.monotonically_increasing_id().alias("ord"))
+    """line and ord; ord follows the files' paths and the position in them."""
+    return spark.read.text(path).select(F.col("value").alias("line"), file_order().alias("ord"))
 
 
 def url_list(spark: SparkSession, path: str) -> DataFrame:
@@ -29,7 +35,7 @@ def url_list(spark: SparkSession, path: str) -> DataFrame:
 
 def playlist(spark: SparkSession, path: str) -> DataFrame:
     """The playlist dimension; of a repeated id the later row counts, and a missing address is made from the id."""
-    raw = spark.read.csv(path, sep="\t", header=True, schema=schemas.PLAYLIST, quote="").withColumn("ord", F.monotonically_increasing_id())
+    raw = spark.read.csv(path, sep="\t", header=True, schema=schemas.PLAYLIST, quote="").withColumn("ord", file_order())
     return last_wins(raw.where("id is not null"), ["id"], ["ord"]).drop("ord").withColumn("url", ids.default_url(F.col("url"), F.col("id")))
 
 
@@ -68,8 +74,8 @@ def jsonl(spark: SparkSession, path: str, schema: T.StructType, strict: bool = T
 
 
 def jsonl_map(spark: SparkSession, path: str, key: str, value: str, schema: T.StructType) -> DataFrame:
-    """key and value, the last line of each key."""
-    raw = jsonl(spark, path, schema, strict=False).withColumn("ord", F.monotonically_increasing_id())
+    """key and value, the last line of each key, files in the order of their paths."""
+    raw = jsonl(spark, path, schema, strict=False).withColumn("ord", file_order())
     return last_wins(raw.where(F.col(key).isNotNull()), [key], ["ord"]).select(key, value)
 
 

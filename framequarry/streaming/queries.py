@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from framequarry.scratch import delete
 from framequarry.sinks.writers import upsert
 
 
@@ -30,11 +31,14 @@ def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -
 
 
 def upsert_stream(stream: DataFrame, key: str, folder: str, checkpoint: str) -> None:
-    """Batches merged keep-first into versions ``v<batch>`` of a table; a batch that is run again writes its version again."""
+    """Batches merged keep-first into versions ``v<batch>`` of a table; a batch that is run again writes its version again
+    from the one before, so the last two versions stay and older ones are deleted."""
 
     def merge(batch: DataFrame, number: int) -> None:
         before = batch.sparkSession.read.parquet(f"{folder}/v{number - 1}") if number else None
         upsert(before, batch, key, f"{folder}/v{number}")
+        if number > 1:
+            delete(batch.sparkSession, f"{folder}/v{number - 2}")
 
     stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
@@ -45,11 +49,15 @@ def consume(queue: DataFrame, done: DataFrame) -> DataFrame:
 
 
 def count_attempts(stream: DataFrame, most: int = 3) -> DataFrame:
-    """id, tries and given_up after each batch, by state that is kept for every id until it is given up."""
+    """id, tries and given_up after each batch, by state that is kept for every id until it is given up and then removed:
+    an id that comes again after that starts anew."""
 
     def step(key, parts: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         tries = (state.get[0] if state.exists else 0) + sum(len(p) for p in parts)
-        state.update((tries,))
+        if tries >= most:
+            state.remove()
+        else:
+            state.update((tries,))
         yield pd.DataFrame({"id": [key[0]], "tries": [tries], "given_up": [tries >= most]})
 
     return stream.groupBy("id").applyInPandasWithState(step, "id string, tries long, given_up boolean", "tries long", "update", "NoTimeout")
