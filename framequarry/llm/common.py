@@ -1,60 +1,17 @@
-"""Shared pieces: reading a table, tables written to the cluster's shared folder, and small helpers."""
+"""Shared pieces: reading a table, samples, joins with hot keys, and small helpers."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framequarry.scratch import Scratch, shared_dir
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+__all__ = ["Scratch", "held_out", "labelled_sample", "look_up", "shared_dir", "spread_sample", "table"]
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which every executor can reach; a local one is set only where none is (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = current.get() if current.isDefined() else None
-    if not found:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-", dir="/tmp"))
-        found = spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    return found
-
-
-class Scratch:
-    """Tables written to the shared folder: they cut the lineage, survive lost executors and are read back by Spark.
-
-    ``drop`` deletes tables that no later plan reads, so that the disk holds only what is still needed.
-    """
-
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self.root = f"{shared_dir(spark)}/framequarry-{uuid.uuid4().hex}"
-        self.n = 0
-        self.paths: dict[int, str] = {}
-
-    def write(self, df: DataFrame, thin: bool = False) -> DataFrame:
-        """``thin`` is for tables far smaller than the input: a sixteenth as many tasks and files as shuffles have."""
-        if thin:
-            df = df.coalesce(max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // 16))
-        self.n += 1
-        path = f"{self.root}/t{self.n}"
-        df.write.option("compression", "zstd").parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
-        return out
-
-    def drop(self, *frames: DataFrame) -> None:
-        for df in frames:
-            path = self.paths.pop(id(df), None)
-            if path:
-                jvm = self.spark._jvm
-                p = jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -94,8 +51,20 @@ def spread_sample(df: DataFrame, key: Column, per_key: int, order: Column) -> Da
     )
 
 
-def spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
+#: Ways in which ``look_up`` deals out a key of the large side.
+SALTS = 8
+
+
+def look_up(large: DataFrame, small: DataFrame, keys: list[str], by: Column, how: str = "inner") -> DataFrame:
+    """``large`` joined with ``small``, which has one row for each value of ``keys``, all values compared null-safe and named
+    alike on both sides. A key may hold any share of ``large``: its rows are dealt out by the hash of ``by`` in ``SALTS``
+    ways, and the rows of ``small``, which are short, go out once for each way."""
+    left = large.withColumn("fq_salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
+    right = small.withColumnsRenamed({k: f"fq_{k}_" for k in keys}).withColumn("fq_salt_", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    at = F.col("fq_salt") == F.col("fq_salt_")
+    for k in keys:
+        at &= F.col(k).eqNullSafe(F.col(f"fq_{k}_"))
+    return left.join(right, at, how).drop("fq_salt", "fq_salt_", *(f"fq_{k}_" for k in keys))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_chars: int, doc_id: str = "doc_id", text: str = "text", extra: tuple[str, ...] = ()) -> list:
