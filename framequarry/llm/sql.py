@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from framequarry.llm.url_filter import DEPTH, MAX_MEAN, MIN_CHILDREN, REJECT, RULES, M, Z
+from framequarry.llm.url_filter import DIGITS, MAX_MEAN, MIN_CHILDREN, REJECT, RULES, M, Z
 
 _LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -14,26 +14,26 @@ def url_filter_sql() -> str:
         name, _, rest = rule.partition("/")
         test = f"(host = '{name}' or suffix(host, '.{name}')) and starts_with(path, '/{rest}')"
         fits, verdicts = f"case when {test} then '{rule}' else {fits} end", f"case when {test} then '{verdict}' else {verdicts} end"
+    share = f"(bad + {M} * of_shape) / (labelled + {M})"
+    variable = f"kinds >= {MIN_CHILDREN} and (n <= {MAX_MEAN} * kinds or digits >= {DIGITS} * kinds)"
     parts = [
-        "r as (select page_id, row_number() over () as id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest from pages)",
-        f"h as (select page_id, id, {_LOW.format(host)} as host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from r)",
-        f"t0 as (select *, {fits} as rule, {verdicts} as rv, case when path = '' then [] else string_split(regexp_replace(path, '^/', ''), '/') end as segs, '' as tpl from h)",
+        "r as (select page_id, url, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest from pages)",
+        f"h as (select page_id, url, coalesce({_LOW.format(host)}, '') as host, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') as path from r)",
+        f"p as (select *, {fits} as rule, {verdicts} as rv from h)",
+        "t(host, path, segs, d, tpl) as (select distinct host, path, case when path = '' then [] else string_split(regexp_replace(path, '^/', ''), '/') end, 0, '' from p union all"
+        f" select host, path, segs, d + 1, tpl || '/' || case when {variable} then '*' else segs[d + 1] end from"
+        " (select *, count(*) over w as n, count(distinct segs[d + 1]) over w as kinds, count(distinct case when regexp_matches(segs[d + 1], '[0-9]') then segs[d + 1] end) over w as digits"
+        " from t where len(segs) > d window w as (partition by host, tpl)))",
+        "leaf as (select host, path, tpl from t where len(segs) = d)",
+        "u as (select host, path, url, avg(case when rule is not null then cast(rv = 'block' as int) end) as bad from p group by all)",
+        r"g as (select host, tpl, regexp_replace(tpl, '^((?:/\*)*)/[^/*]+', '\1/{}') as shape, count(bad) as labelled, coalesce(sum(bad), 0) as bad from u join leaf using (host, path) group by all)",
+        f"hosts as (select host, (sum(bad) + {M} * least(0.5, coalesce((select sum(bad) / nullif(sum(labelled), 0) from g), 0))) / (sum(labelled) + {M}) as of_host from g group by host)",
+        f"shapes as (select host, shape, (sum(bad) + {M} * any_value(of_host)) / (sum(labelled) + {M}) as of_shape from g join hosts using (host) group by host, shape)",
+        f"s as (select *, {share} as share, {Z} * sqrt({share} * (1 - {share}) / (labelled + {M})) as wide from g join shapes using (host, shape))",
+        "b as (select *, shape || ' ' || case when labelled = 0 then 'none' when share - wide > 0.5 then 'bad' when share + wide < 0.5 then 'good' else 'mixed' end as branch from s)",
+        f"j as (select host, branch, (sum(bad) + {M} * any_value(of_shape)) / (sum(labelled) + {M}) as bad_share from b group by all)",
     ]
-    for d in range(DEPTH):
-        parts += [
-            f"c{d} as (select host, tpl from (select host, tpl, count(*) as kinds, sum(n) as n from (select host, tpl, segs[{d + 1}] as seg, count(*) as n from t{d} where len(segs) > {d} group by all) group by all) where kinds >= {MIN_CHILDREN} and n <= {MAX_MEAN} * kinds)",
-            f"t{d + 1} as (select t.* replace (case when len(segs) > {d} then t.tpl || '/' || case when c.host is not null then '*' else segs[{d + 1}] end else t.tpl end as tpl) from t{d} t left join c{d} c on t.host = c.host and t.tpl = c.tpl)",
-        ]
-    share = f"(bad + {M} * prior) / (labelled + {M})"
-    parts += [
-        f"leaf as (select * replace (case when len(segs) > {DEPTH} then tpl || '/**' else tpl end as tpl), case when rule is not null then cast(rv = 'block' as int) end as bad from t{DEPTH})",
-        "g as (select host, tpl, count(bad) as labelled, coalesce(sum(bad), 0) as bad from leaf group by all)",
-        "p as (select *, least(0.5, coalesce((select cast(sum(bad) as double) / nullif(sum(labelled), 0) from g), 0)) as prior from g)",
-        f"s as (select *, {share} as share, {Z} * sqrt({share} * (1 - {share}) / (labelled + {M})) as wide from p)",
-        r"b as (select *, regexp_replace(tpl, '^((?:/\*)*)/[^/*]+', '\1/{}') || ' ' || case when labelled = 0 then 'none' when share - wide > 0.5 then 'bad' when share + wide < 0.5 then 'good' else 'mixed' end as branch from s)",
-        f"j as (select host, branch, (sum(bad) + {M} * any_value(prior)) / (sum(labelled) + {M}) as bad_share from b group by all)",
-    ]
-    return f"with {', '.join(parts)} select page_id, l.host, path, rule, coalesce(rv, case when bad_share >= {REJECT} then 'block' else 'allow' end) as verdict, l.tpl as template, b.branch, bad_share from leaf l join b on l.host = b.host and l.tpl = b.tpl join j on b.host = j.host and b.branch = j.branch"
+    return f"with recursive {', '.join(parts)} select page_id, p.host, p.path, rule, coalesce(rv, case when bad_share >= {REJECT} then 'block' else 'allow' end) as verdict, l.tpl as template, b.branch, bad_share from p join leaf l on p.host = l.host and p.path = l.path join b on l.host = b.host and l.tpl = b.tpl join j on b.host = j.host and b.branch = j.branch"
 
 
 JACCARD_SQL = rf"""

@@ -1,21 +1,29 @@
 """URL filters (2): rules first, then a path-template tree for each host, judged by smoothed labelled purity.
 
-Tree. Level by level, the children of a node (host and template so far) are counted; where a node has at least
-``MIN_CHILDREN`` distinct ones and either at most ``MAX_MEAN`` distinct paths each or a digit in half of them, its segments
-are variable and become the wildcard ``*``. Neither repeated pages nor, for ids with digits, more pages below change that. What lies below ``DEPTH`` segments is one tail ``**``. A page's leaf is the template of its whole path.
-
-Merging. Sibling leaves of a host are similar if they differ in their first literal segment only and their labelled rates can't be
-told apart: both unlabelled, or the same half of the scale after smoothing with z-wide bounds. They share one branch.
-
-Verdict. A branch is rejected if (bad + M * prior) / (labelled + M) is at least ``REJECT``, where the prior is the bad share of all
-labelled pages, but at most a half, so that a branch without labels is never rejected. Labels come with the input (``bad``: 1, 0 or null); the query labels pages by its rules, whose verdict stands.
+Tree. Level by level, the children of a node (host and template so far) are counted over distinct paths; where a node has
+at least ``MIN_CHILDREN`` distinct ones and either at most ``MAX_MEAN`` distinct paths each or a digit in half of them, its
+segments are variable and become the wildcard ``*``. Neither repeated pages nor, for ids with digits, more pages below change
+that. A node with fewer than ``MIN_CHILDREN`` distinct paths below can't have a variable segment at any depth, so its
+paths end there with their segments as they are; all others go on, however deep they are. A page's leaf is the template of
+its whole path.
+
+Merging. Sibling leaves have one shape: their templates differ in the first literal segment only (``/es/*`` and ``/fr/*``).
+Labelled siblings that can't be told apart share a branch: the same half of the scale after smoothing, with z-wide
+bounds, or undecided. Unlabelled siblings are a branch that has nothing of its own.
+
+Verdict. A branch's purity is its labelled bad share, smoothed by ``M`` rows of its shape's, which in turn is smoothed by
+``M`` rows of its host's, and that by ``M`` rows of the bad share of all labelled pages, at most a half. So a branch without
+labels takes what its siblings of that shape show, and a shape without labels what its host shows; a host without labels
+is never rejected. A branch is rejected if its purity is at least ``REJECT``. Labels come with the input (``bad``: 1, 0 or
+null); the query labels pages by its rules, whose verdict stands.
 
 A url counts once in the tree and in the purities, with the mean of the labels of its rows, so copies of pages don't add weight.
-Every count is a partial aggregation, so a host with a third of all pages is spread over all tasks.
+The tree is built on distinct paths, every count is a partial aggregation, and joins back to pages deal out hot hosts and
+hot pages, so a host with a third of all pages is spread over all tasks.
 
 Defined results: a null url, or one without ``://``, has empty host and path; an empty path is the template of the host
-itself; repeated rows each have a result and count as one; an empty table gives an empty result; other columns of the
-input are kept, those named like results are replaced.
+itself; urls and paths of any length are read whole; repeated rows each have a result and count as one; an empty table
+gives an empty result; other columns of the input are kept, those named like results are replaced.
 """
 
 from __future__ import annotations
@@ -23,9 +31,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framequarry.llm.common import Scratch, table
+from framequarry.llm.common import Scratch, look_up, table
 
-DEPTH, MIN_CHILDREN, MAX_MEAN, DIGITS = 6, 8, 4.0, 0.5
+MIN_CHILDREN, MAX_MEAN, DIGITS = 8, 4.0, 0.5
 M, REJECT, Z = 5.0, 0.8, 1.96
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 RESULTS = ("host", "path", "rule", "template", "branch", "bad_share", "verdict")
@@ -49,59 +57,67 @@ def rule_of(rules: list[tuple[str, str]], host: Column, path: Column) -> Column:
     return out
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """``pages`` (host, path and more) with ``template``. Each level is written once and holds only paths that go on."""
-    scratch = Scratch(pages.sparkSession)
-    segs = F.split(F.regexp_replace("path", "^/", ""), "/", -1)
-    level = scratch.write(pages.withColumns({"fq_segs": F.when(F.col("path") == "", F.array().cast("array<string>")).otherwise(segs), "template": F.lit("")}))
-    out = level.where("size(fq_segs) = 0")
-    for d in range(DEPTH):
-        on = level.where(F.size("fq_segs") > d).withColumn("fq_seg", F.get("fq_segs", F.lit(d)))
-        if on.isEmpty():
-            break
-        paths = on.select("host", "template", "fq_seg", "path").distinct()
-        segments = paths.groupBy("host", "template", "fq_seg").agg(F.count("*").alias("n"))
-        children = segments.groupBy("host", "template").agg(F.count("*").alias("kinds"), F.sum("n").alias("n"), F.count_if(F.col("fq_seg").rlike("[0-9]")).alias("digits"))
-        variable = children.where(f"kinds >= {MIN_CHILDREN} and (n <= {MAX_MEAN} * kinds or digits >= {DIGITS} * kinds)").select(F.col("host").alias("fq_h"), F.col("template").alias("fq_t"))
-        joined = on.join(variable, (F.col("host") == F.col("fq_h")) & (F.col("template") == F.col("fq_t")), "left")
-        step = F.concat("template", F.lit("/"), F.when(F.col("fq_h").isNotNull(), "*").otherwise(F.col("fq_seg")))
-        level = scratch.write(joined.withColumn("template", step).drop("fq_h", "fq_t", "fq_seg"))
-        ends = level.where(F.size("fq_segs") == d + 1)
-        if d == DEPTH - 1:
-            ends = level.withColumn("template", F.when(F.size("fq_segs") > DEPTH, F.concat("template", F.lit("/**"))).otherwise(F.col("template")))
-        out = out.unionByName(ends)
-    return out.drop("fq_segs")
-
-
-def judge_templates(pages: DataFrame) -> DataFrame:
-    """host, template, branch and bad_share of every leaf; ``pages`` has host, template, fq_url and bad (1, 0 or null)."""
-    urls = pages.groupBy("host", "template", "fq_url").agg(F.avg("bad").alias("bad"))
-    leaves = urls.groupBy("host", "template").agg(F.count("*").alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    total = leaves.agg(F.sum("labelled").alias("t_labelled"), F.sum("bad").alias("t_bad"))
-    prior = F.least(F.lit(0.5), F.coalesce(F.try_divide("t_bad", "t_labelled"), F.lit(0.0)))
-    leaves = leaves.join(F.broadcast(total.select(prior.alias("prior"))))  # one row
-    share = (F.col("bad") + M * F.col("prior")) / (F.col("labelled") + M)
+def templates(paths: DataFrame, scratch: Scratch) -> DataFrame:
+    """host, path and template of distinct ``paths`` (host, path). Each level is written and holds only what goes on."""
+    segs = F.when(F.col("path") == "", F.array().cast("array<string>")).otherwise(F.split(F.regexp_replace("path", "^/", ""), "/", -1))
+    level = scratch.write(paths.select("host", "path", segs.alias("rest"), F.lit("").alias("template")))
+    out = level.where("size(rest) = 0").select("host", "path", "template")
+    on = level.where("size(rest) > 0")
+    while not on.isEmpty():
+        seg = F.get("rest", F.lit(0))
+        kids = on.groupBy("host", "template", seg.alias("seg")).agg(F.count("*").alias("n"))
+        nodes = kids.groupBy("host", "template").agg(F.count("*").alias("kinds"), F.sum("n").alias("n"), F.count_if(F.col("seg").rlike("[0-9]")).alias("digits"))
+        nodes = nodes.where(f"n >= {MIN_CHILDREN}").selectExpr("host", "template", f"kinds >= {MIN_CHILDREN} and (n <= {MAX_MEAN} * kinds or digits >= {DIGITS} * kinds) as variable")
+        step = F.concat("template", F.lit("/"), F.when(F.col("variable"), "*").otherwise(seg))
+        # Below a node that is left out nothing can vary: all the rest is taken at once.
+        ends = F.concat("template", F.lit("/"), F.concat_ws("/", "rest"))
+        known = F.col("variable").isNotNull()
+        level = scratch.write(
+            look_up(on, nodes, ["host", "template"], F.col("path"), "left")
+            .select("host", "path", F.when(known, F.slice("rest", F.lit(2), F.size("rest"))).otherwise(F.array().cast("array<string>")).alias("rest"), F.when(known, step).otherwise(ends).alias("template"))
+        )
+        out = out.unionByName(level.where("size(rest) = 0").select("host", "path", "template"))
+        on = level.where("size(rest) > 0")
+    return out
+
+
+def judge_templates(urls: DataFrame) -> DataFrame:
+    """host, template, branch and bad_share of every leaf; ``urls`` has host, template and bad (share of 1, or null) of distinct urls."""
+    bad = F.coalesce(F.sum("bad"), F.lit(0.0))
+    leaves = urls.groupBy("host", "template").agg(F.count("bad").alias("labelled"), bad.alias("bad"))
+    leaves = leaves.withColumn("shape", F.regexp_replace("template", r"^((?:/\*)*)/[^/*]+", "$1/{}"))
+    total = leaves.agg(F.sum("labelled").alias("t"), F.sum("bad").alias("b"))
+    prior = F.least(F.lit(0.5), F.coalesce(F.try_divide("b", "t"), F.lit(0.0)))
+    hosts = leaves.groupBy("host").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b")).crossJoin(F.broadcast(total.select(prior.alias("prior"))))  # one row
+    hosts = hosts.select("host", ((F.col("b") + M * F.col("prior")) / (F.col("n") + M)).alias("of_host"))
+    shapes = leaves.groupBy("host", "shape").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b")).join(hosts, "host")
+    shapes = shapes.select("host", "shape", ((F.col("b") + M * F.col("of_host")) / (F.col("n") + M)).alias("of_shape"))
+    leaves = leaves.join(shapes, ["host", "shape"])
+    share = (F.col("bad") + M * F.col("of_shape")) / (F.col("labelled") + M)
     wide = Z * F.sqrt(share * (1 - share) / (F.col("labelled") + M))
     kind = F.when(F.col("labelled") == 0, "none").when(share - wide > 0.5, "bad").when(share + wide < 0.5, "good").otherwise("mixed")
-    shape = F.regexp_replace("template", r"^((?:/\*)*)/[^/*]+", "$1/{}")
-    leaves = leaves.withColumn("branch", F.concat_ws(" ", shape, kind))
-    branches = leaves.groupBy("host", "branch").agg(((F.sum("bad") + M * F.first("prior")) / (F.sum("labelled") + M)).alias("bad_share"))
+    leaves = leaves.withColumn("branch", F.concat_ws(" ", "shape", kind))
+    branches = leaves.groupBy("host", "branch").agg(((F.sum("bad") + M * F.first("of_shape")) / (F.sum("labelled") + M)).alias("bad_share"))
     return leaves.select("host", "template", "branch").join(branches, ["host", "branch"])
 
 
 def filter_urls(df: DataFrame, rules: list[tuple[str, str]], url: str = "url") -> DataFrame:
     """``df`` with host, path, rule, template, branch, bad_share and verdict."""
-    df = df.drop(*RESULTS).withColumn("fq_url", F.col(url))
+    scratch = Scratch(df.sparkSession)
+    own_labels = "bad" in df.columns
+    df = df.drop(*(c for c in RESULTS if c != url)).withColumn("fq_url", F.col(url))
     host, path = split_url()
-    pages = df.withColumns({"host": F.coalesce(host, F.lit("")), "path": F.coalesce(path, F.lit(""))}).drop("fq_url")
+    pages = df.withColumns({"host": F.coalesce(host, F.lit("")), "path": F.coalesce(path, F.lit(""))})
     pages = pages.withColumn("fq_rule", rule_of(rules, F.col("host"), F.col("path")))
     bad = F.when(F.col("fq_rule").isNotNull(), (F.col("fq_rule.verdict") == "block").cast("int"))
-    leafed = templates(pages.withColumn("bad", bad) if "bad" not in df.columns else pages)
-    judged = judge_templates(leafed.select("host", "template", F.col(url).alias("fq_url"), "bad")).withColumnsRenamed({"host": "fq_h", "template": "fq_t"})
-    out = leafed.join(judged, (F.col("host") == F.col("fq_h")) & (F.col("template") == F.col("fq_t"))).drop("fq_h", "fq_t")
+    urls = pages.groupBy("host", "path", "fq_url").agg(F.avg(F.col("bad") if own_labels else bad).alias("bad"))
+    urls = scratch.write(urls.select("host", "path", "bad", F.xxhash64("fq_url").alias("url_hash")))
+    leaf_of = scratch.write(templates(urls.select("host", "path").distinct(), scratch))
+    judged = judge_templates(look_up(urls, leaf_of, ["host", "path"], F.col("url_hash")).select("host", "template", "bad"))
+    by_path = look_up(leaf_of, judged, ["host", "template"], F.col("path"))
     verdict = F.coalesce(F.col("fq_rule.verdict"), F.when(F.col("bad_share") >= REJECT, "block").otherwise("allow"))
-    out = out.withColumns({"rule": F.col("fq_rule.rule"), "verdict": verdict}).drop("fq_rule")
-    return out if "bad" in df.columns else out.drop("bad")
+    out = look_up(pages, by_path, ["host", "path"], F.col("fq_url")).withColumns({"rule": F.col("fq_rule.rule"), "verdict": verdict})
+    return out.drop("fq_rule", "fq_url")
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,48 @@
+"""What the URL filter's tree does below rules: deep paths, and labels that reach pages without any."""
+
+from framequarry.llm import url_filter
+
+
+def judged(spark, rows):
+    return {r.url: r for r in url_filter.filter_urls(spark.createDataFrame(rows, "url string, bad int"), []).collect()}
+
+
+def plain_templates(paths):
+    """Level by level in plain Python, over lists of segments of one host."""
+    done, level = {}, [((), tuple(p[1:].split("/")), p) for p in set(paths)]
+    while level:
+        nodes = {}
+        for at, rest, p in level:
+            nodes.setdefault(at, []).append((rest, p))
+        level = []
+        for at, below in nodes.items():
+            kinds = {rest[0] for rest, _ in below}
+            digits = sum(any(c.isdigit() for c in k) for k in kinds)
+            free = len(kinds) >= 8 and (len(below) <= 4 * len(kinds) or digits >= 0.5 * len(kinds))
+            for rest, p in below:
+                here = (*at, "*" if free else rest[0])
+                if len(rest) > 1:
+                    level.append((here, rest[1:], p))
+                else:
+                    done[p] = "/" + "/".join(here)
+    return done
+
+
+def test_paths_of_twelve_segments_and_more(spark):
+    paths = [f"/a/b/c/d/e/f/g/h/i/j/k/{i}" for i in range(20)] + [f"/a/b/{c}/d/e/f/g/{i}/x/y/z/{i % 3}" for c in "pq" for i in range(9)]
+    paths += ["/" + "/".join("ab"[i % 2] for i in range(300)), "/one/" + "x" * 2_000_000, "/a//b/", "/"]
+    got = judged(spark, [("http://h.org" + p, None) for p in paths])
+    assert {u.removeprefix("http://h.org"): r.template for u, r in got.items()} == plain_templates(paths)
+    assert got["http://h.org/a/b/c/d/e/f/g/h/i/j/k/3"].template == "/a/b/c/d/e/f/g/h/i/j/k/*"
+
+
+def test_labels_reach_siblings_and_hosts(spark):
+    rows = [(f"http://bad.org/{s}/{i}", 1) for s in ("es", "fr") for i in range(12)] + [(f"http://bad.org/{s}/{i}", None) for s in ("en", "de") for i in range(12)]
+    rows += [(f"http://mix.org/{s}/{i}", int(s == "es")) for s in ("es", "fr") for i in range(12)] + [(f"http://mix.org/en/{i}", None) for i in range(12)]
+    rows += [(f"http://new.org/en/{i}", None) for i in range(12)] + [("http://bad.org/about", None)]
+    got = judged(spark, rows)
+    assert {got[f"http://bad.org/{s}/3"].verdict for s in ("en", "de", "es", "fr")} == {"block"}
+    assert got["http://bad.org/about"].verdict == "block", "its host shows nothing but bad pages"
+    assert got["http://mix.org/es/3"].verdict == "block"
+    assert {got[u].verdict for u in ("http://mix.org/fr/3", "http://mix.org/en/3", "http://new.org/en/3")} == {"allow"}
+    assert got["http://bad.org/en/3"].branch == got["http://bad.org/de/3"].branch == "/{}/* none"
