@@ -17,13 +17,18 @@ Method: size-banded tiles with hashed bitmap signatures and exact verification,
    component is done. So a group of near copies costs about one comparison for each member.
    Blocks. Tiles that still hold several components are dealt out in pairs of blocks of about ``BLOCK`` nodes. A block
    bounds all its pairs by bit counts and, where any passes, gets the exact sizes of all common parts of the nodes
-   concerned from one product of incidence matrices. Only links leave it. No pair of different components is left unchecked.
+   concerned from one product of incidence matrices. A spanning forest of its links leaves it. No pair of different
+   components is left unchecked.
+   Hot tiles and hot leaders: a tile of many nodes is joined with its leaders in parts of ``HOT`` nodes, and so is a
+   leader that has many pairs with their bitmaps and tokens.
 6. Components: large-star and small-star steps over the links of representatives.
 
 Nothing is gathered on the driver; tables between steps are in the shared folder.
 
-Defined results: null and empty texts, and texts without words, have n_shingles 0 and link with nothing; rows that repeat an id and
-text share a node; a component of which no document has an id has a null id.
+Defined results: null and empty texts, and texts without words, have n_shingles 0 and link with nothing; texts of any length
+are read whole; rows that repeat an id and text share a node, and each has a result; documents at exactly the threshold
+(ties) link; a component of which no document has an id has a null id; an empty table gives an empty result; columns other
+than the id and text are not read, so their names can't clash.
 """
 
 from __future__ import annotations
@@ -36,13 +41,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framequarry.llm.common import Scratch, table
+from framequarry.llm.common import Scratch, look_up, table
 from framequarry.llm.textnum import LOWER, mix, shingles, slices, span_hashes, words
 
 K, PERCENT = 5, 80
 CHUNK_BYTES, RANGE_BYTES, CHUNK_DOCS = 8 << 20, 8 << 20, 60_000
 TOKEN_BITS, BAND, BITMAP = 48, 1.26, 1024
-LEADERS, BLOCK, COLUMNS = 24, 512, 8192
+LEADERS, BLOCK, COLUMNS, HOT = 24, 512, 8192, 2048
 _MANY = 65_535
 _TOKEN = np.uint64((1 << TOKEN_BITS) - 1)
 
@@ -101,11 +106,11 @@ def _send(ranges: int):
         local = np.repeat(~once, count)
         rows.append((home, chunk, 2, pack_sorted(t[local]), d[local].astype("<u2").tobytes(), None))
         u, where = t[first], np.where(once, d[first], _MANY).astype("<u2")
-        cut = np.searchsorted(u, edges)
-        for b in range(ranges):
-            i, j = cut[b], cut[b + 1]
-            if i < j:
-                rows.append((b, chunk, 0, pack_sorted(u[i:j]), where[i:j].tobytes(), count[i:j][~once[i:j]].astype("<u4").tobytes()))
+        # Only ranges that the chunk has tokens of: the work grows with the chunk, not with the number of ranges.
+        home_of = np.searchsorted(edges, u, side="right") - 1
+        cut = np.flatnonzero(np.diff(home_of, prepend=-1))
+        for i, j in zip(cut, np.append(cut[1:], len(u))):
+            rows.append((int(home_of[i]), chunk, 0, pack_sorted(u[i:j]), where[i:j].tobytes(), count[i:j][~once[i:j]].astype("<u4").tobytes()))
         cols = list(zip(*rows))
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[3:])], names=["key", *(n for n, _ in PACKED)])
 
@@ -285,8 +290,21 @@ def _block(pdf: pd.DataFrame) -> pd.DataFrame:
         common += m @ m.T
     total = n[at][:, None] + n[at][None, :] - common
     i, j = np.nonzero(maybe[np.ix_(at, at)] & (100 * common >= PERCENT * total))
-    sig = pdf["sig"].to_numpy()[at]
-    return pd.DataFrame({"a": sig[i], "b": sig[j]})
+    sig, kept, parent = pdf["sig"].to_numpy()[at], [], {}
+
+    def top(x):
+        while (up := parent.get(x, x)) != x:
+            parent[x] = x = parent.get(up, up)
+        return x
+
+    # A spanning forest of the links, over the components known so far: it connects what all of them connect.
+    group = root[at]
+    for k, (x, y) in enumerate(zip(group[i].tolist(), group[j].tolist())):
+        x, y = top(x), top(y)
+        if x != y:
+            parent[x] = y
+            kept.append(k)
+    return pd.DataFrame({"a": sig[i[kept]], "b": sig[j[kept]]})
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -326,7 +344,34 @@ def _live(posts: DataFrame, labels: DataFrame | None, round_no: int, leaders: in
     stats = tagged.groupBy("tile").agg(F.count("*").alias("size"), F.min("root").alias("r0"), F.max("root").alias("r1"), F.min(first).alias("lead")).where("r0 <> r1").select("tile", "size", "lead")
     share = F.lit(float(leaders)) / F.col("size") * float(2**64) - float(2**63)
     leads = (first == F.col("lead")) | (rank.cast("double") < share)
-    return scratch.write(tagged.join(stats, "tile").withColumn("leads", leads).select("tile", "sig", "n", "own", "root", "size", "leads"))
+    live = look_up(tagged, stats, ["tile"], F.col("sig"), nulls=False)
+    return scratch.write(live.withColumn("leads", leads).select("tile", "sig", "n", "own", "root", "size", "leads"))
+
+
+def _ways(n: str) -> Column:
+    return F.ceil(F.col(n) / HOT)
+
+
+def _hot(pairs: DataFrame, scratch: Scratch) -> DataFrame | None:
+    """node and ways: into how many parts the pairs of a node go that has more than ``HOT`` of them."""
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+    hot = scratch.write(ends.groupBy("node").agg(F.count("*").alias("m")).where(F.col("m") > HOT).select("node", _ways("m").alias("ways")), thin=True)
+    return None if hot.isEmpty() else hot
+
+
+def _with(pairs: DataFrame, nodes: DataFrame, column: str, hot: DataFrame | None) -> DataFrame:
+    """``pairs`` with ``column`` of both their nodes."""
+    for end, other in (("a", "b"), ("b", "a")):
+        side = nodes.selectExpr(f"sig as {end}", f"{column} as {column}_{end}")
+        if hot is None:
+            pairs = pairs.join(side, end)
+            continue
+        mine = hot.withColumnRenamed("node", end)
+        ways = F.coalesce("ways", F.lit(1))
+        left = look_up(pairs, mine, [end], F.col(other), "left", nulls=False).withColumn("way", F.pmod(F.xxhash64(other), ways)).drop("ways")
+        right = side.join(mine, end, "left").withColumn("way", F.explode(F.sequence(F.lit(0).cast("long"), ways - 1))).drop("ways")
+        pairs = left.join(right, [end, "way"]).drop("way")
+    return pairs
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", trace: list | None = None) -> DataFrame:
@@ -336,19 +381,22 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", t
     can = rows.where("prefix is not null")
     nodes = scratch.write(can.groupBy("sig").agg(F.first("n").alias("n"), F.first("own").alias("own"), F.first("tokens").alias("tokens"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")))
     posts = nodes.select("sig", "n", "prefix", "own").mapInArrow(_tiles, "tile long, sig binary, n long, own int")
-    side = lambda c, s: nodes.selectExpr(f"sig as {s}", f"{c} as {c}_{s}")
     links = labels = None
     for round_no, leaders in enumerate((0, LEADERS)):
         live = _live(posts, labels, round_no, leaders, scratch)
-        lead = live.where("leads").selectExpr("tile", "sig as ls", "n as ln", "root as lr")
-        pairs = live.join(lead, "tile").where("root <> lr").where(f"100 * least(n, ln) >= {PERCENT} * greatest(n, ln)").selectExpr("least(sig, ls) as a", "greatest(sig, ls) as b", "if(sig < ls, n, ln) as na", "if(sig < ls, ln, n) as nb").distinct()
-        may = pairs.join(side("bits", "a"), "a").join(side("bits", "b"), "b").mapInArrow(_may_link, "a binary, b binary, na long, nb long")
-        sure = scratch.write(may.join(side("tokens", "a"), "a").join(side("tokens", "b"), "b").mapInArrow(_verify, "a binary, b binary"))
+        lead = live.where("leads").select("tile", F.explode(F.sequence(F.lit(0).cast("long"), _ways("size") - 1)).alias("part"), F.col("sig").alias("ls"), F.col("n").alias("ln"), F.col("root").alias("lr"))
+        met = live.withColumn("part", F.pmod(F.xxhash64("sig"), _ways("size"))).join(lead, ["tile", "part"])
+        met = met.where("root <> lr").where(f"100 * least(n, ln) >= {PERCENT} * greatest(n, ln)")
+        pairs = scratch.write(met.selectExpr("least(sig, ls) as a", "greatest(sig, ls) as b", "if(sig < ls, n, ln) as na", "if(sig < ls, ln, n) as nb").distinct())
+        hot = _hot(pairs, scratch)
+        may = _with(pairs, nodes, "bits", hot).mapInArrow(_may_link, "a binary, b binary, na long, nb long")
+        sure = scratch.write(_with(may, nodes, "tokens", hot).mapInArrow(_verify, "a binary, b binary"))
         if trace is not None:
             trace.append((round_no, live.count(), may.count(), sure.count()))
         links = sure if links is None else links.unionByName(sure)
         if labels is None and not sure.isEmpty():
             labels = components(sure, scratch)
+        scratch.drop(pairs)
         posts = live.where("not leads").select("tile", "sig", "n", "own")
     live = _live(posts, labels, 2, 0, scratch)
     many = F.ceil(F.col("size") / BLOCK)
@@ -366,7 +414,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", t
         least = tied.groupBy("root").agg(F.min("first").alias("least"))
         named = tied.join(least, "root").select(F.col("node").alias("sig"), "least")
         own = own.join(named, "sig", "left").select("sig", F.coalesce("least", "first").alias("first"))
-    out = rows.select("doc_id", "n", "sig").join(own, "sig", "left")
+    out = look_up(rows.select("doc_id", "n", "sig"), own, ["sig"], F.col("doc_id"), "left", nulls=False)
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("first")).otherwise(F.col("doc_id")).alias("component_id"))
 
 

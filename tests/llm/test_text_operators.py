@@ -358,3 +358,23 @@ def test_jaccard_keeps_large_ids_beside_nulls(docs):
     big = 2**60 + 1
     got = {(r.doc_id, r.component_id) for r in jaccard.near_duplicates(docs([(big, "a b c"), (None, "d e f"), (big + 1, "A b C")], 1)).collect()}
     assert got == {(big, big), (big + 1, big), (None, None)}
+
+
+def test_jaccard_hot_leaders_change_nothing(docs, prose, monkeypatch):
+    """One large group of near copies, dealt out in parts of two nodes."""
+    monkeypatch.setattr(jaccard, "HOT", 2)
+    base, rows = prose(150, 3).split(), []
+    for i in range(60):
+        w = list(base)
+        w[(i * 7) % 150] = f"n{i}"
+        rows.append((i, " ".join(w)))
+    rows += near_rows(prose, 40, 5)[:40] + ODD
+    rows = [(d if d is None or k < 60 else d + 2000, t) for k, (d, t) in enumerate(rows)]
+    got = jaccard.near_duplicates(docs(rows)).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == plain_components(rows)
+
+
+def test_jaccard_reads_five_megabytes(docs):
+    long = " ".join(f"w{i}" for i in range(700_000))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs([(1, long), (2, long + " end"), (3, "w1 w2")])).collect()}
+    assert got == {1: (699_996, 1), 2: (699_997, 1), 3: (1, 3)}
