@@ -2,11 +2,18 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows of its predecessor and returns a DataFrame, which ``run``
 writes as Parquet to the cluster's shared folder and reads again. All but the last return the columns of documents.
+
+Every stage: texts are read whole, whatever their length; an empty table gives an empty result; columns beyond those of documents are
+dropped, so none can clash. Null and empty texts, ties and repeated rows: the quality stage judges them by what an empty
+text looks like, equal rows alike, and keeps all rows if there are no labels of both kinds; the join keeps rows without
+words and one of equal rows; decontamination keeps rows without words and judges equal rows alike; the PII stage leaves
+null texts null with n_chars 0 and keeps repeated rows; packing makes one piece of one id of a null or empty text and
+packs repeated rows as often as they occur.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framequarry.llm.common import Scratch, table
@@ -25,14 +32,23 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels"))).where("kept").select(*COLUMNS)
 
 
+def sorting_key(docs: DataFrame) -> Column:
+    """Text that sorts as doc_id does, whole numbers by value and nulls last, with a hash of the row's text behind it."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    if kind in ("bigint", "int", "smallint", "tinyint"):
+        number = F.lpad((F.col("doc_id").cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")).cast("decimal(20,0)").cast("string"), 20, "0")
+    else:
+        number = F.concat(F.lit("="), F.col("doc_id").cast("string"), F.lit("\0"))
+    return F.concat(F.coalesce(number, F.lit("none")), F.lit(":"), F.hex(F.xxhash64("text")))
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id, of repeated rows one; rows without words stay.
 
     A row is known by its id and a hash of its text, so that two texts under one id are two documents.
     """
     docs = docs.select(*COLUMNS)
-    number = F.coalesce(F.lpad(F.col("doc_id").cast("string"), 20, "0"), F.lit("none"))
-    keyed = docs.withColumn("fq_key", F.concat(number, F.lit(":"), F.hex(F.xxhash64("text"))))
+    keyed = docs.withColumn("fq_key", sorting_key(docs))
     groups = near_duplicates(keyed, doc_id="fq_key").where("component_id = doc_id").select(F.col("doc_id").alias("fq_key")).distinct()
     return keyed.join(groups, "fq_key", "left_semi").dropDuplicates(["fq_key"]).select(*COLUMNS)
 

@@ -10,12 +10,13 @@
 
 What reaches the driver is the histogram, one number for each bin, however large the input is.
 
-Defined results: null or empty text is the one id ``end_id``; ties and repeated rows are packed as they come; an empty
-table gives no pieces. Columns of the input other than the id and text are not read.
+Defined results: null or empty text is the one id ``end_id``; texts of any length are tokenised whole; ties and repeated
+rows are packed as they come; an empty table gives no pieces. Columns of the input other than the id and text are not read.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -41,12 +42,30 @@ _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _HARD = re.compile("[\u0130\u0300-\U0010ffff]").search
 
 
+def splits_at_spaces(made: dict) -> bool:
+    """Whether a tokenizer's file says that it lower-cases, drops white space and takes runs of letters, single digits and
+    runs of marks apart before a byte-level merge model sees them."""
+    norm, pre, model = made.get("normalizer") or {}, made.get("pre_tokenizer") or {}, made.get("model") or {}
+    steps = [(x.get("type"), (x.get("pattern") or {}).get("Regex"), x.get("content")) for x in norm.get("normalizers", [])]
+    cuts = pre.get("pretokenizers", [])
+    if steps != [("NFC", None, None), ("Replace", "\\s+", " "), ("Lowercase", None, None)] or [x.get("type") for x in cuts] != ["Split", "ByteLevel"]:
+        return False
+    split, level = cuts
+    runs = (split["pattern"].get("Regex") or "").split("|")
+    return (
+        split.get("behavior") == "Removed" and split.get("invert") is True and not level.get("add_prefix_space") and not level.get("use_regex")
+        and runs[-3:] == ["[\\p{L}]+", "[\\p{N}]", "[^\\s\\p{L}\\p{N}]+"] and all(re.fullmatch("'[a-z]+", x) for x in runs[:-3])
+        and model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))
+    )
+
+
 class WordCache(dict):
     """Ids (little-endian uint32 bytes) of strings between spaces. The tokenizer drops white space and never joins across
     it, so a text's ids are those of its parts in order; it also lower-cases, and splits letters from the marks after
     them, so such parts share entries, and a word of letters is one unit of its merge model. Texts with code points of
     which this isn't certain are encoded as a whole. Entries not met again while the cache filled up once more are
-    dropped, which changes no result."""
+    dropped, which changes no result. All this holds for one make of tokenizer, which is looked up in its file
+    (``splits_at_spaces``); with any other, every text is encoded as a whole."""
 
     def __init__(self, path: str):
         super().__init__()
@@ -55,6 +74,9 @@ class WordCache(dict):
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer, self.old = Tokenizer.from_file(path), {}
+        with open(path, encoding="utf-8") as f:
+            made = json.load(f)
+        self.by_parts, self.special = splits_at_spaces(made), [x["content"].lower() for x in made.get("added_tokens") or []]
         self.units = self.tokenizer.model.tokenize
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         self.table = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, 0x300)}
@@ -78,12 +100,15 @@ class WordCache(dict):
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def ids(self, text: str) -> bytes:
-        if _HARD(text):
+        if not self.by_parts or _HARD(text):
+            return self.encode(text)
+        low = text.lower()
+        if any(x in low for x in self.special):  # these are matched in texts as they are written
             return self.encode(text)
         if len(self) >= CACHE_WORDS:
             self.old = dict(self)
             self.clear()
-        return b"".join(map(self.__getitem__, text.lower().replace("\n", " ").replace("\t", " ").split(" ")))
+        return b"".join(map(self.__getitem__, low.replace("\n", " ").replace("\t", " ").split(" ")))
 
 
 _caches: dict[str, WordCache] = {}

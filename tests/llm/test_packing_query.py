@@ -1,0 +1,60 @@
+"""Packing through its query, and with tokenizers of another make."""
+
+import os
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from framequarry.llm import packing
+
+DIR = "/root/testdata/sf0.001"
+
+
+def test_only_the_known_make_is_taken_apart():
+    assert packing.WordCache(packing.tokenizer_path()).by_parts
+    cache = packing.WordCache(packing.tokenizer_path())
+    for s in ("a<|EndOfText|> B", "<|endoftext|>x", "A<|STARTOFTEXT|>"):
+        assert np.frombuffer(cache.ids(s), "<u4").tolist() == cache.tokenizer.encode(s, add_special_tokens=False).ids
+    other = packing.WordCache(packing.tokenizer_path("byte_bpe_50k.json"))
+    assert not other.by_parts
+    r = random.Random(1)
+    for _ in range(500):
+        s = "".join(r.choice("aBc é\n\t .,!'s12中") for _ in range(r.randint(0, 30)))
+        assert np.frombuffer(other.ids(s), "<u4").tolist() == other.tokenizer.encode(s, add_special_tokens=False).ids
+
+
+@pytest.mark.skipif(not os.path.isdir(DIR), reason="the driver's tables aren't here")
+def test_query_equals_plain_tokenisation(spark):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(packing.tokenizer_path())
+    text = {r.doc_id: r.text for r in spark.read.parquet(f"{DIR}/documents.parquet").collect()}
+    out = packing.op1_packing(spark, DIR).collect()
+    by, room = defaultdict(list), defaultdict(list)
+    for r in out:
+        by[r.doc_id].append(r)
+        room[r.sequence_id].append(r)
+    assert set(by) == set(text)
+    for d, pieces in by.items():
+        ids = np.array([*plain.encode(text[d] or "", add_special_tokens=False).ids, 2], "<u4")
+        at = 0
+        for r in sorted(pieces, key=lambda r: r.start):
+            assert (r.start, r.doc_tokens) == (at, len(ids)) and r.ids_crc32 == zlib.crc32(ids[at : at + r.length].tobytes())
+            at += r.length
+        assert at == len(ids)
+    for pieces in room.values():
+        at = 0
+        for r in sorted(pieces, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= packing.CAPACITY
+    assert sum(r.length for r in out) > 0.95 * packing.CAPACITY * len(room)
+
+
+def test_five_megabytes(docs):
+    long = "several words of a text " * 220_000
+    out = packing.pack_documents(docs([(1, long), (2, None)]), packing.tokenizer_path(), with_ids=False).collect()
+    assert sum(r.length for r in out) == 220_000 * 5 + 1 + 1
