@@ -81,11 +81,11 @@ def templates(paths: DataFrame, scratch: Scratch) -> DataFrame:
     return out
 
 
-def judge_templates(urls: DataFrame) -> DataFrame:
+def judge_templates(urls: DataFrame, scratch: Scratch) -> DataFrame:
     """host, template, branch and bad_share of every leaf; ``urls`` has host, template and bad (share of 1, or null) of distinct urls."""
     bad = F.coalesce(F.sum("bad"), F.lit(0.0))
     leaves = urls.groupBy("host", "template").agg(F.count("bad").alias("labelled"), bad.alias("bad"))
-    leaves = leaves.withColumn("shape", F.regexp_replace("template", r"^((?:/\*)*)/[^/*]+", "$1/{}"))
+    leaves = scratch.write(leaves.withColumn("shape", F.regexp_replace("template", r"^((?:/\*)*)/[^/*]+", "$1/{}")))
     total = leaves.agg(F.sum("labelled").alias("t"), F.sum("bad").alias("b"))
     prior = F.least(F.lit(0.5), F.coalesce(F.try_divide("b", "t"), F.lit(0.0)))
     hosts = leaves.groupBy("host").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b")).crossJoin(F.broadcast(total.select(prior.alias("prior"))))  # one row
@@ -113,7 +113,7 @@ def filter_urls(df: DataFrame, rules: list[tuple[str, str]], url: str = "url") -
     urls = pages.groupBy("host", "path", "fq_url").agg(F.avg(F.col("bad") if own_labels else bad).alias("bad"))
     urls = scratch.write(urls.select("host", "path", "bad", F.xxhash64("fq_url").alias("url_hash")))
     leaf_of = scratch.write(templates(urls.select("host", "path").distinct(), scratch))
-    judged = judge_templates(look_up(urls, leaf_of, ["host", "path"], F.col("url_hash")).select("host", "template", "bad"))
+    judged = judge_templates(look_up(urls, leaf_of, ["host", "path"], F.col("url_hash")).select("host", "template", "bad"), scratch)
     by_path = look_up(leaf_of, judged, ["host", "template"], F.col("path"))
     verdict = F.coalesce(F.col("fq_rule.verdict"), F.when(F.col("bad_share") >= REJECT, "block").otherwise("allow"))
     out = look_up(pages, by_path, ["host", "path"], F.col("fq_url")).withColumns({"rule": F.col("fq_rule.rule"), "verdict": verdict})
