@@ -1,12 +1,15 @@
 """Toxicity (9): logistic regression by FTRL-proximal over hashed word n-grams and skip-grams.
 
-Features are 64-bit hashes of the distinct words, word pairs and pairs that skip one or two words of the whole text
-(A-Z lower-cased; words are runs of letters, digits and non-ASCII bytes). Every coordinate has its own learning rate
+Features are 46-bit hashes of the distinct words, word stems (the first ``STEM`` bytes of longer words), word pairs and pairs
+that skip one or two words of the whole text (A-Z lower-cased; words are runs of letters, digits and non-ASCII bytes). Every coordinate has its own learning rate
 and L1 keeps most weights at exactly zero; what is left is a sorted hash array with one weight each, which is
 broadcast. Its size is bounded by the bounded sample of labelled rows: ``PER_CLASS`` of each label, none longer than
-``FIT_CHARS``. Hashes are not folded into buckets, so long texts don't gather weight from collisions.
+``FIT_CHARS``. Hashes are not folded into buckets, so long texts don't gather weight from collisions. A feature of fewer than
+``MIN_ROWS`` rows of the sample gets no weight: it says little about others, and most features are of this kind.
 
-Defined results: a null or empty text scores by the bias alone; without labelled rows of both kinds every score is 0.
+Defined results: a null or empty text scores by the bias alone; texts of any length are scored whole; repeated and equal
+rows score alike; an empty table gives an empty result; without labelled rows of both kinds every score is (nearly) 0; of
+a repeated id the largest label counts; existing columns ``score`` and ``predicted`` are replaced, others are kept.
 """
 
 from __future__ import annotations
@@ -21,8 +24,12 @@ from framequarry.llm.textnum import LOWER, mix, slices, span_hashes, words
 
 PER_CLASS, FIT_CHARS = 3000, 60_000
 #: FTRL's alpha, beta, L1, L2 and passes over the sample.
-ALPHA, BETA, L1, L2, PASSES = 3.0, 1.0, 12.0, 0.0, 10
+ALPHA, BETA, L1, L2, PASSES = 3.0, 1.0, 20.0, 0.0, 10
 SKIPS = (1, 2, 3)
+#: Bytes of a word's stem.
+STEM = 5
+#: A feature of fewer labelled rows than this gets no weight.
+MIN_ROWS = 3
 _BITS = 46
 _LOW = np.uint64((1 << _BITS) - 1)
 
@@ -38,6 +45,10 @@ def features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     h = span_hashes(data, st, en)
     r = row.astype(np.uint64) << np.uint64(_BITS)
     out = [r | (h & _LOW)]
+    long = en - st > STEM
+    if long.any():
+        stem = span_hashes(data, st[long], st[long] + STEM)
+        out.append(r[long] | (mix(stem ^ np.uint64(0xA5A5A5A5A5A5A5A5)) & _LOW))
     for k in SKIPS:
         if len(h) > k:
             ok = row[k:] == row[:-k]
@@ -89,8 +100,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", label:
         return FtrlModel(np.zeros(0, np.uint64), np.zeros(0), -30.0)
     col = pa.array([r[text] for r in picked], pa.large_string())
     del picked
-    # A feature of one or two rows says little about others. A table of small counters, which never counts too few,
-    # drops most of them before the exact count, so that the driver doesn't hold them all at once.
+    # A table of small counters, which never counts too few, drops most features of too few rows before the exact count,
+    # so that the driver doesn't hold them all at once.
     seen = np.zeros(1 << 24, np.uint16)
     for _, _, data, off in slices(col):
         at, n = np.unique(features(data, off)[0] & np.uint64((1 << 24) - 1), return_counts=True)
@@ -98,12 +109,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", label:
     parts = []
     for i, _, data, off in slices(col):
         v, r = features(data, off)
-        ok = seen[v & np.uint64((1 << 24) - 1)] > 2
+        ok = seen[v & np.uint64((1 << 24) - 1)] >= MIN_ROWS
         parts.append((v[ok], (r[ok] + i).astype(np.int32)))
     value, row = np.concatenate([v for v, _ in parts]), np.concatenate([r for _, r in parts])
     del parts, seen, col
     keys, n = np.unique(value, return_counts=True)
-    keys = keys[n > 2]
+    keys = keys[n >= MIN_ROWS]
     if not len(keys):
         return FtrlModel(np.zeros(0, np.uint64), np.zeros(0), -30.0)
     at = np.minimum(np.searchsorted(keys, value), len(keys) - 1)
