@@ -253,17 +253,73 @@ def test_model_groups_change_nothing(docs, prose, monkeypatch):
     assert sorted(perplexity.judge(docs(rows)).select("doc_id", F.round("log_ppl", 9)).collect()) == whole
 
 
-def test_kneser_ney_sums_to_one():
-    data = np.frombuffer(b"the cat sat on the mat. the end", np.uint8)
+def test_kneser_ney_sums_to_one(spark, docs):
+    from framequarry.llm.common import Scratch
+
+    text = "the cat sat on the mat. the end"
+    models = perplexity.fit_models(docs([(1, text)]), Scratch(spark))
+    model = perplexity._load(*models, ["=en"])["=en"]
+    data = np.frombuffer(text.encode(), np.uint8)
     gram = perplexity.grams(data, np.array([0, len(data)]))
-    keys, n = np.unique(gram.astype(np.int64), return_counts=True)
-    rows = perplexity._build(("=en",), __import__("pandas").DataFrame({"gram": keys, "n": n})).to_dict("records")
-    model = perplexity.LanguageModel(rows)
     for history in (0, int(gram[5]) >> 6, 63 << 12):
         p = 2.0 ** model.logp((history << 6 | np.arange(64)) & ((1 << 24) - 1)).astype(float)
         assert abs(p.sum() - 1) < 1e-3
 
 
+class PlainKneserNey:
+    """Modified Kneser-Ney over tuples of symbols, straight from the definition."""
+
+    def __init__(self, texts):
+        self.count = {k: Counter() for k in range(1, 5)}
+        for t in texts:
+            s = (0, 0, 0, *perplexity.CLASS[np.frombuffer(t.encode(), np.uint8)].tolist())
+            self.count[4].update(s[i - 3 : i + 1] for i in range(3, len(s)))
+        for k in (3, 2, 1):
+            self.count[k] = Counter(g[1:] for g in self.count[k + 1])
+        self.d, self.total, self.freed = {}, {}, {}
+        for k, c in self.count.items():
+            n = [sum(v == j for v in c.values()) for j in range(5)]
+            y = n[1] / (n[1] + 2 * n[2]) if all(n[1:]) else None
+            self.d[k] = [0, *(min(j, max(0, j - (j + 1) * y * n[j + 1] / n[j])) for j in (1, 2, 3))] if y else [0, 0.5, 0.7, 0.9]
+            self.total[k], self.freed[k] = Counter(), Counter()
+            for g, v in c.items():
+                self.total[k][g[:-1]] += v
+                self.freed[k][g[:-1]] += self.d[k][min(v, 3)]
+
+    def p(self, g):
+        if not g:
+            return 1 / 64
+        k, h, c = len(g), g[:-1], self.count[len(g)].get(g, 0)
+        if h not in self.total[k]:
+            return self.p(g[1:])
+        return (c - self.d[k][min(c, 3)]) / self.total[k][h] + self.freed[k][h] / self.total[k][h] * self.p(g[1:])
+
+
+def test_perplexity_equals_brute_force(docs, prose):
+    rows = [(i, prose(12, i, 30) + (" é!" if i % 4 else "\n"), ["en", "de", None][i % 3]) for i in range(24)] + [(50, "zq 9 rare", "de"), (51, "", "en"), (52, None, "fr")]
+    models = {k: PlainKneserNey([t or "" for _, t, x in rows if x == k]) for k in ("en", "de", None)}
+    pool = PlainKneserNey([t or "" for _, t, _ in rows])
+    for r in perplexity.judge(docs(rows), keep=("doc_id",)).collect():
+        t, lang = next((t or "", x) for d, t, x in rows if d == r.doc_id)
+        words = list(WORD.finditer(t))
+        if not words:
+            assert r.log_ppl is None
+            continue
+        data = t.encode()
+        s = (0, 0, 0, *perplexity.CLASS[np.frombuffer(data, np.uint8)].tolist())
+        starts = [len(t[: m.start()].encode()) for m in words] + [len(data)]
+        bits = 0.0
+        for a, b in zip(starts, starts[1:]):
+            own, all_ = (np.prod([m.p(s[i : i + 4]) for i in range(a, b)]) for m in (models[lang], pool))
+            bits -= np.log2(0.8 * own + 0.2 * all_)
+        assert abs(bits / len(words) - r.log_ppl) < 1e-3, r.doc_id
+
+
+def test_perplexity_names_clash(docs):
+    with pytest.raises(ValueError):
+        perplexity.judge(docs([(1, "a")]).withColumn("low", F.lit(1)), keep=("doc_id", "low"))
+
+
 # PII
 
 
