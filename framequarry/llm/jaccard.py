@@ -338,7 +338,8 @@ def _live(posts: DataFrame, labels: DataFrame | None, round_no: int, leaders: in
     with the fewest elements of its own, likely what the others are copies of, and about ``leaders`` more by hash."""
     tagged = posts.withColumn("root", F.col("sig"))
     if labels is not None:
-        tagged = posts.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+        # A long document is in as many tiles as its prefix has shingles.
+        tagged = look_up(posts, labels.withColumnRenamed("node", "sig"), ["sig"], F.col("tile"), "left", nulls=False).withColumn("root", F.coalesce("root", "sig"))
     rank = F.xxhash64("sig", F.lit(round_no))
     first = F.struct("own", rank.alias("rank"))
     stats = tagged.groupBy("tile").agg(F.count("*").alias("size"), F.min("root").alias("r0"), F.max("root").alias("r1"), F.min(first).alias("lead")).where("r0 <> r1").select("tile", "size", "lead")
