@@ -15,7 +15,7 @@ from framequarry.llm.perplexity import op5_perplexity
 from framequarry.llm.pii import op6_pii
 from framequarry.llm.quality import op4_quality
 from framequarry.llm.sharding import op7_sharding
-from framequarry.llm.sql import JACCARD_SQL, url_filter_sql
+from framequarry.llm.sql import JACCARD_SQL, SHARDING_SQL, url_filter_sql
 from framequarry.llm.toxicity import op9_toxicity
 from framequarry.llm.url_filter import op2_url_filter
 
@@ -32,4 +32,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_url_filter": url_filter_sql(), "op3_jaccard": JACCARD_SQL, "op8_decontamination": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_url_filter": url_filter_sql(), "op3_jaccard": JACCARD_SQL, "op7_sharding": SHARDING_SQL, "op8_decontamination": OP8_SQL}

@@ -1,4 +1,4 @@
-"""DuckDB SQL of queries that SQL can express whole: the URL filter and the Jaccard join."""
+"""DuckDB SQL of queries that SQL can express whole: the URL filter, the Jaccard join and sharding."""
 
 from __future__ import annotations
 
@@ -46,3 +46,16 @@ both_ways as (select a, b from e union all select b, a from e),
 reach(d, r) as (select doc_id, doc_id from documents union select d, b from reach join both_ways on a = r)
 select doc_id, coalesce(n, 0) as n_shingles, least_id as component_id from documents left join n using (doc_id) join (select d as doc_id, min(r) as least_id from reach group by d) using (doc_id)
 """
+
+#: CRC-32 of a text's UTF-8 bytes: the table by its rule, then one lookup for each byte.
+_CRC_TABLE = "list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i))"
+_CRC = "xor(list_reduce(list_transform(regexp_extract_all(hex(encode({})), '..'), lambda x: cast('0x' || x as bigint)), lambda c, x: xor(c >> 8, crc_table[1 + (xor(c, x) & 255)]), 4294967295), 4294967295)"
+
+SHARDING_SQL = f"""
+with t as (select {_CRC_TABLE} as crc_table),
+d as (select doc_id, row_number() over () as r, coalesce(text, '') as text, octet_length(encode(coalesce(text, ''))) + 1 as size from documents),
+s as (select doc_id, r, size, {_CRC.format("text")} as crc, sum(size) over (order by doc_id nulls first, r) - size as before, sum(size) over () as total from d, t),
+p as (select *, cast(least(7, (2 * before + size) * 8 // (2 * total)) as int) as shard from s)
+select doc_id, cast(size as bigint) as size, cast(crc as bigint) as text_crc32, 'bytes' as law, shard,
+  cast(row_number() over (partition by shard order by doc_id nulls first, r) - 1 as bigint) as slot, cast(null as int) as grown_shard from p
+"""
