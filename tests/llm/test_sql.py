@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from framequarry.llm.queries import ORACLE_SQL, QUERIES
@@ -12,7 +13,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(DIR), reason="the driver's tab
 
 
 def rows(df):
-    return sorted(tuple("NULL" if v is None or v != v else f"{v:.9g}" if isinstance(v, float) else str(v) for v in r) for r in df[sorted(df.columns)].itertuples(index=False))
+    return sorted(tuple("NULL" if pd.isna(v) else f"{v:.9g}" if isinstance(v, float) else str(v) for v in r) for r in df[sorted(df.columns)].itertuples(index=False))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
