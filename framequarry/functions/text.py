@@ -77,7 +77,7 @@ def truthy(v: Column, path: str) -> Column:
     as_text = F.try_variant_get(v, path, "string")
     number = F.try_variant_get(v, path, "double")
     empty = ((kind == "STRING") & (as_text == "")) | (kind.startswith("ARRAY") & (as_text == "[]")) | (kind.startswith("OBJECT") & (as_text == "{}"))
-    false = kind.isNull() | (kind == "VOID") | empty | ((kind == "BOOLEAN") & (as_text == "false")) | (~kind.isin("STRING", "BOOLEAN") & (number == 0))
+    false = kind.isNull() | (kind == "VOID") | empty | ((kind == "BOOLEAN") & (as_text == "false")) | (~kind.isin("STRING", "BOOLEAN") & F.coalesce(number == 0, F.lit(False)))
     return ~F.coalesce(false, F.lit(True))
 
 

@@ -45,6 +45,15 @@ def barrier(status: DataFrame, expected: int) -> DataFrame:
     return out.withColumn("complete", F.col("done") + F.col("failed") + F.col("empty") >= expected)
 
 
+def stage_status(**stages: DataFrame) -> DataFrame:
+    """One row for each stage: its name and the rows of its table."""
+    out = None
+    for name, df in stages.items():
+        one = df.agg(F.lit(name).alias("stage"), F.count("*").alias("n"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def prune_plan(videos: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
     """Files of finished videos; nothing is deleted here."""
     return videos.join(done.select(key).distinct(), key, "left_semi")

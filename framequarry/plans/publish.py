@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from framequarry import models
 from framequarry.functions.text import DESCRIPTION_LIMIT, STRONG, TEXTY, cut, json_variant
 from framequarry.operators import joins
+from framequarry.scratch import Scratch
 
 
 def describe(final: DataFrame, done: DataFrame | None = None, model: str = "describe") -> DataFrame:
@@ -32,6 +33,18 @@ def fix_composites(df: DataFrame, rewrite, pattern: str = STRONG, text: str = "c
     return out, counts
 
 
+def fix_composites_in_batches(df: DataFrame, model: str, pattern: str = STRONG, text: str = "caption", size: int = 40, show: int = 20) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Strong mentions rewritten by a batch model, each reply accepted on its own: it has to answer a requested index, be non-empty
+    and differ. All rewrites are one map from old to new, applied at once. Also the counts before and after, and the first
+    ``show`` texts that still match."""
+    hit = F.col(text).rlike(pattern)
+    new = models.ask_batches(df.where(hit), text, model, size, whole=False).select(F.col(text).alias("fq_old"), cut(F.col("v"), DESCRIPTION_LIMIT).alias("fq_new"))
+    new = Scratch(df.sparkSession).write(new.where("fq_new is not null and fq_new <> fq_old"))
+    out = df.join(new, F.col(text) == F.col("fq_old"), "left").withColumn(text, F.coalesce("fq_new", F.col(text))).drop("fq_old", "fq_new")
+    counts = df.agg(F.count_if(hit).alias("before")).join(out.agg(F.count_if(hit).alias("after")))  # one row each
+    return out, counts, out.where(hit).select(text).distinct().orderBy(text).limit(show)
+
+
 def shard_rows(final: DataFrame, pictures: DataFrame) -> DataFrame:
     """Rows of the published shards: image bytes and path, then the scalars; descriptive_text only if there is one."""
     names = ["image_id", "image_filename", "video_id", "video_title", "video_url", "timestamp_seconds", "caption", "descriptive_text", "had_overlay", "overlay_inpainted", "n_boxes"]

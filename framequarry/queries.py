@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 import numpy as np
@@ -9,9 +10,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framequarry import models
 from framequarry.functions import boxes, ids, images, retry, text
 from framequarry.operators import dedup, frames, joins, ledger, route, shard
-from framequarry.scratch import shared_dir
+from framequarry.scratch import Scratch, shared_dir
+from framequarry.sinks import writers
+from framequarry.sources import readers
+from framequarry.streaming import queries as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -429,6 +434,101 @@ def attempts_due(spark, d):
     return last.join(F.broadcast(now)).select("id", F.round(F.col("now") - F.col("ts"), 3).alias("elapsed"), retry.due(F.col("ts"), F.col("now")).alias("due"))
 
 
+@query("""with l as (select conv_id, text from (select *, row_number() over (partition by conv_id order by turn desc, role desc, text desc) as rn from conversations) where rn = 1)
+ select cast(conv_id as varchar) as k, md5(text) as v from l""")
+def jsonl_last_wins(spark, d):
+    """Conversations as JSON lines in several files, in order of turns, and the last line of each."""
+    scratch = Scratch(spark)
+    rows = read(spark, d, "conversations").select(F.col("conv_id").cast("string").alias("k"), F.md5(F.col("text").cast("binary")).alias("v"), "turn", "role", "text")
+    rows.repartitionByRange(4, "turn", "role", "text").sortWithinPartitions("turn", "role", "text").select("k", "v").write.json(f"{scratch.root}/lines")
+    return readers.jsonl_map(spark, f"{scratch.root}/lines", "k", "v", "k string, v string")
+
+
+def _flaky():
+    """A stand-in service: every seventh id is refused, others fail with 429 or 503 as often as their id modulo 6 says."""
+    tries: dict[str, int] = {}
+
+    def call(text: str) -> tuple[int, str | None, dict[str, int]]:
+        n, i = tries.pop(text, 0), int(text)
+        if i % 7 == 0:
+            return 400, None, {"calls": 1}
+        if n < i % 6:
+            tries[text] = n + 1
+            return (429, 503)[n % 2], None, {"calls": 1}
+        return 200, f"ok {text}", {"calls": 1, "tokens": len(text)}
+
+    return call
+
+
+@query("""with e as (select page_id as i, page_id % 7 = 0 as refused, page_id % 6 as fails from pages)
+ select i as page_id, case when not refused and fails < 4 then 'ok ' || cast(i as varchar) end as raw, case when refused then 'HTTP 400' when fails >= 4 then 'HTTP 503' end as error,
+  cast(case when refused then 1 when fails < 4 then fails + 1 else 4 end as int) as tries, cast(case when refused then 1 when fails < 4 then fails + 1 else 4 end as bigint) as calls from e""")
+def call_retry(spark, d):
+    asked = read(spark, d, "pages").select("page_id", models.call_column(_flaky, 4, lambda s: None)(F.col("page_id").cast("string")).alias("r"))
+    return asked.select("page_id", "r.raw", "r.error", "r.tries", F.col("r.usage")["calls"].alias("calls"))
+
+
+def _parity():
+    """Flags by a text's length; every batch whose first text has a length divisible by 5 loses an answer."""
+
+    def run(requests):
+        out = []
+        for request in requests:
+            items = json.loads(request)
+            got = [{"i": x["i"], "v": str(len(x["text"]) % 2)} for x in items]
+            out.append(json.dumps(got[1:] if len(items[0]["text"]) % 5 == 0 else got))
+        return out
+
+    return run
+
+
+models.register("parity", _parity)
+_TITLES = "t as (select distinct source || ' ' || lang || ' ' || cast(doc_id % 1000 as varchar) as title from documents), b as (select title, (row_number() over (order by title) - 1) // 30 as batch, (row_number() over (order by title) - 1) % 30 as i from t), f as (select batch, length(title) % 5 = 0 as lost from b where i = 0)"
+
+
+def _titles(spark, d):
+    return read(spark, d, "documents").select(F.concat_ws(" ", "source", "lang", (F.col("doc_id") % 1000).cast("string")).alias("title"))
+
+
+@query(f"with {_TITLES} select title, cast(length(title) % 2 as varchar) as v from b join f using (batch) where not lost")
+def cascade_aligned(spark, d):
+    return models.ask_batches(_titles(spark, d), "title", "parity", 30)
+
+
+models.register("shorter", models.indexed(lambda: lambda texts: ["" if len(t) % 3 == 0 else t if len(t) % 3 == 1 else "plain " + t[-3:] for t in texts]))
+
+
+@query("""with c as (select doc_id, source || ' logo ' || cast(doc_id as varchar) as caption, source < 'src5' as strong from documents),
+ n as (select doc_id, case when strong then caption else replace(caption, 'logo', 'view') end as caption from c)
+ select doc_id, case when contains(caption, 'logo') and length(caption) % 3 = 2 then 'plain ' || trim(right(caption, 3)) else caption end as caption from n""")
+def composite_fix(spark, d):
+    from framequarry.plans import publish
+
+    c = read(spark, d, "documents").select("doc_id", F.concat("source", F.when(F.col("source") < "src5", " logo ").otherwise(" view "), F.col("doc_id").cast("string")).alias("caption"))
+    return publish.fix_composites_in_batches(c, "shorter", r"\blogo\b")[0]
+
+
+@query("""with n as (select doc_id, row_number() over (order by doc_id) - 1 as pos, count(*) over () as n from documents)
+ select printf('train-%05d-of-%05d.parquet', pos // cast(ceil(n / 7.0) as bigint), 7) as file, count(*) as n, min(doc_id) as first, max(doc_id) as last from n group by 1""")
+def shard_files(spark, d):
+    scratch = Scratch(spark)
+    writers.shard_files(read(spark, d, "documents").select("doc_id", "source"), "doc_id", 7, f"{scratch.root}/shards")
+    rows = spark.read.parquet(f"{scratch.root}/shards").select(F.col("_metadata.file_name").alias("file"), "doc_id")
+    return rows.groupBy("file").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+
+
+@query("""with w as (select cast(user_id as varchar) as id, min(event_id) as ord from events group by 1), l as (select cast(user_id as varchar) as id, max(epoch_us(ts)) / 1e6 as ts from events where event_type = 'click' group by 1),
+ done as (select distinct cast(user_id as varchar) as id from events where event_type = 'purchase' and value > 95), n as (select max(epoch_us(ts)) / 1e6 as now from events)
+ select w.id, w.ord from w left join l on w.id = l.id, n where w.id not in (select id from done) and (l.ts is null or now - l.ts > 86400) order by w.ord limit 40""")
+def resolver_stream(spark, d):
+    """One batch of the resolver: users as ids, clicks as tries, some purchases as done, room for 40 of 100 below the mark."""
+    e = read(spark, d, "events").withColumn("id", F.col("user_id").cast("string"))
+    waiting = e.groupBy("id").agg(F.min("event_id").alias("ord"))
+    tries = e.where("event_type = 'click'").select("id", seconds().alias("ts"))
+    now = e.agg(F.max(seconds()).alias("now")).first()["now"]
+    return streams.resolve_now(waiting, tries, e.where("event_type = 'purchase' and value > 95").select("id"), now, 60, 100, 50, DAY)
+
+
 @query("select event_type, event_id % 9 as attempt, least(60.0, pow(2.0, event_id % 9)) as wait, least(1800.0, 300 * pow(2.0, event_id % 9)) as cooldown, count(*) as n from events group by all")
 def retry_backoff(spark, d):
     k = F.col("event_id") % 9

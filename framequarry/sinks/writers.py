@@ -74,3 +74,27 @@ def write_shards(df: DataFrame, order: str, shards: int, folder: str) -> DataFra
     named = placed.withColumn("shard_name", F.format_string("train-%05d-of-%05d", F.col("shard"), F.lit(shards)))
     named.repartitionByRange(shards, "shard", order).sortWithinPartitions("shard", order).drop("shard").write.mode("overwrite").partitionBy("shard_name").parquet(folder)
     return named.groupBy("shard_name").agg(F.count("*").alias("n"))
+
+
+def shard_files(df: DataFrame, order: str, shards: int, folder: str) -> list[str]:
+    """Shards as files ``train-xxxxx-of-nnnnn.parquet`` in ``folder``; names of those written. A shard is one file, hence one
+    task's work; rows are written below ``_parts`` and files put in place by rename once all are whole."""
+    spark = df.sparkSession
+    placed = ceil_shards(df, order, shards)
+    placed.repartition(shards, "shard").sortWithinPartitions("shard", order).write.mode("overwrite").partitionBy("shard").parquet(f"{folder}/_parts")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs, names = path(folder).getFileSystem(spark._jsc.hadoopConfiguration()), []
+    for k in range(shards):
+        for found in fs.globStatus(path(f"{folder}/_parts/shard={k}/part-*.parquet")) or []:
+            names.append(f"train-{k:05d}-of-{shards:05d}.parquet")
+            fs.delete(path(f"{folder}/{names[-1]}"), False)
+            fs.rename(found.getPath(), path(f"{folder}/{names[-1]}"))
+    fs.delete(path(f"{folder}/_parts"), True)
+    return names
+
+
+def write_report(df: DataFrame, folder: str, shard: str) -> None:
+    """A shard's report as CSV, then its marker ``<shard>.done``, which is there only if the report is whole."""
+    df.write.mode("overwrite").csv(f"{folder}/{shard}.csv", header=True, quote='"', escape='"')
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{folder}/{shard}.done")
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).create(path, True).close()

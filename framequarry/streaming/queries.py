@@ -61,3 +61,47 @@ def count_attempts(stream: DataFrame, most: int = 3) -> DataFrame:
         yield pd.DataFrame({"id": [key[0]], "tries": [tries], "given_up": [tries >= most]})
 
     return stream.groupBy("id").applyInPandasWithState(step, "id string, tries long, given_up boolean", "tries long", "update", "NoTimeout")
+
+
+def classify_stream(frames: DataFrame, folder: str, checkpoint: str, model: str = "people_yes_no") -> None:
+    """Frames classified as their files arrive, one table ``b<batch>`` for each batch; what earlier batches have isn't asked again."""
+    from framequarry.plans.frames import classify
+
+    def step(batch: DataFrame, number: int) -> None:
+        before = [f"{folder}/b{n}" for n in range(number)]
+        done = batch.sparkSession.read.parquet(*before) if before else None
+        classify(batch.dropDuplicates(["image_id"]), done, model).write.mode("overwrite").parquet(f"{folder}/b{number}")
+
+    frames.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def resolve_now(waiting: DataFrame, attempts: DataFrame, done: DataFrame, now: float, depth: int, high_water: int = 50, batch: int = 20, wait: float = 6 * 3600.0) -> DataFrame:
+    """id and ord of what is dispatched at ``now``: ids not done, never tried or last tried longer ago than ``wait``, the first ones by
+    ord that fit below the high-water mark, at most ``batch``."""
+    from framequarry.functions.retry import due
+    from framequarry.operators import joins, shard
+
+    last = attempts.groupBy("id").agg(F.max("ts").alias("ts"))
+    ready = joins.pending(waiting, done).join(last, "id", "left").where(due(F.col("ts"), F.lit(float(now)), wait)).select("id", "ord")
+    return shard.admit(ready, "ord", depth, high_water, batch)
+
+
+def resolver_stream(queue: DataFrame, done: DataFrame, folder: str, checkpoint: str, clock, depth, **limits) -> None:
+    """The resolver over arriving ids (id, ord): each batch adds its ids to the state ``s<batch>`` (id, ord, ts of the last try), dispatches what
+    is due (``d<batch>``) and marks it as tried. ``clock`` and ``depth`` are asked once a batch, for the time and the queue's
+    depth. A batch that is run again starts from the state before it; the last two states stay."""
+
+    def step(batch: DataFrame, number: int) -> None:
+        spark, now = batch.sparkSession, float(clock())
+        state = spark.read.parquet(f"{folder}/s{number - 1}") if number else batch.select("id", "ord", F.lit(None).cast("double").alias("ts")).limit(0)
+        both = state.unionByName(batch.select("id", "ord", F.lit(None).cast("double").alias("ts")))
+        merged = both.groupBy("id").agg(F.min("ord").alias("ord"), F.max("ts").alias("ts"))
+        tried = merged.where("ts is not null").select("id", "ts")
+        resolve_now(merged.select("id", "ord"), tried, done, now, depth(), **limits).write.mode("overwrite").parquet(f"{folder}/d{number}")
+        sent = spark.read.parquet(f"{folder}/d{number}").select("id", F.lit(now).alias("sent"))
+        new = merged.join(sent, "id", "left").select("id", "ord", F.coalesce("sent", "ts").alias("ts"))
+        new.write.mode("overwrite").parquet(f"{folder}/s{number}")
+        if number > 1:
+            delete(spark, f"{folder}/s{number - 2}")
+
+    queue.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

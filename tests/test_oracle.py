@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from framequarry.queries import ORACLE_SQL, QUERIES
@@ -22,7 +23,7 @@ def duck():
 
 def rows(df):
     def norm(v):
-        return "NULL" if v is None or v != v else f"{v:.9g}" if isinstance(v, float) else str(v)
+        return "NULL" if pd.isna(v) else f"{v:.9g}" if isinstance(v, float) else str(v)
 
     return sorted(tuple(map(norm, r)) for r in df[sorted(df.columns)].itertuples(index=False))
 
