@@ -8,6 +8,8 @@ leaves one row of coefficients per landmark n-gram. Scores are a softmax of the
 
 The fit uses a bounded sample: ``PER_LANG`` rows of each language, none longer than ``FIT_CHARS``. Every row is scored
 on its whole text. A null text, or one without letters, is ``und`` with score 0; without any labelled row all are ``und``.
+Repeated and equal rows get equal predictions; of languages that tie the first by name is taken; an empty table gives an
+empty result; existing columns ``lang_pred`` and ``score`` are replaced, others are kept.
 """
 
 from __future__ import annotations

@@ -11,7 +11,9 @@ Fitting uses bounded samples: ``PER_CLASS`` rows of each label and ``POOL`` unla
 ``FIT_CHARS``. Scoring covers every row and whole texts; the model that is broadcast has a fixed size.
 
 Defined results: a null text counts as empty; null language or source is a value of its own; without labelled rows of
-both kinds every document scores 1 and is kept. Existing columns named like results are replaced.
+both kinds every document scores 1 and is kept. Texts of any length are scored whole; repeated and equal rows (ties) score
+alike, and of a repeated id the largest label counts; an empty table gives an empty result. Existing columns named like
+results are replaced, others are kept.
 """
 
 from __future__ import annotations
