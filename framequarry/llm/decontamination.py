@@ -7,8 +7,8 @@ prefix: the rarest one in the corpus.
 
 1. Rarity: the shingles of all windows are counted over all documents (partial counts on the map side).
 2. Prefix join: document positions are joined with each window's rarest shingle. The windows are broadcast only while
-   their number stays below ``broadcast_windows``; beyond, the same join is left to a shuffle, with the words around a
-   position carried along.
+   their bytes, counted from above, stay below ``broadcast_bytes``; beyond, the same join is left to a shuffle, with the
+   words around a position carried along.
 3. Length and position bounds: the window has to start and end inside the document.
 4. Verification: the document's words at that place equal the window's words.
 5. Hits are united to covered words for each document, in the same aggregation that gathers its items.
@@ -30,7 +30,8 @@ from framequarry.llm.common import table
 #: Characters between words.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BROADCAST_WINDOWS = 200_000
+#: About 200,000 windows of common words.
+BROADCAST_BYTES = 64 << 20
 
 
 def word_array(text: Column) -> Column:
@@ -50,11 +51,13 @@ def item_windows(items: DataFrame, item_id: str, text: str, window: int, shingle
     return wins.groupBy("win").agg(F.sort_array(F.collect_set("item")).alias("items")).select("win", F.expr("size(win)").alias("len"), F.expr(f"least({shingle}, size(win))").alias("k"), "items")
 
 
-def find_windows(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, shingle: int = 3, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+def find_windows(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, shingle: int = 3, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Per document row: doc_id, text_hash, n_words, n_hit (words covered), hit_items (sorted array of item ids as text)."""
     wins = item_windows(items, item_id, item_text, window, shingle).withColumn("win_id", F.xxhash64("win"))
-    n, ks = wins.agg(F.count("*"), F.sort_array(F.collect_set("k"))).first()
-    small = n <= broadcast_windows
+    # A string in an array takes at most 16 bytes more than its own; 64 bytes are for the rest of a row.
+    held = lambda a: F.octet_length(F.array_join(a, "")) + 16 * F.size(a)
+    size, ks = wins.agg(F.sum(held("win") + held("items") + 64), F.sort_array(F.collect_set("k"))).first()
+    small = (size or 0) <= broadcast_bytes
     near = F.broadcast if small else lambda df: df
     ks = list(ks or [])
 

@@ -183,7 +183,7 @@ def test_decontamination_equals_brute_force(spark, docs, prose, limit):
     items = [(i, prose(n, 50 + i)) for i, n in enumerate([40, 10, 11, 9, 3, 1, 25])] + [(7, prose(40, 50)), (8, None), (9, "?!"), (10, "é ß"), (11, "B2b")]
     rows = [(i, prose(60, i) + (" " + items[i % 7][1].upper() if i % 3 else "") + " " + prose(20, 99)) for i in range(25)] + [(30, "é,ß! b2B"), (31, items[0][1])] + ODD
     bench = spark.createDataFrame(items, "item_id long, text string")
-    found = decontamination.find_windows(docs(rows).withColumn("w", F.lit(1)), bench, broadcast_windows=limit).collect()
+    found = decontamination.find_windows(docs(rows).withColumn("w", F.lit(1)), bench, broadcast_bytes=limit).collect()
     got = [(r.doc_id, r.n_words, r.n_hit, len(r.hit_items), hashlib.sha256(",".join(r.hit_items).encode()).hexdigest()) for r in found]
     assert sorted(got, key=str) == plain_hits(rows, items)
 
