@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from framequarry.scratch import Scratch, shared_dir
 
-__all__ = ["Scratch", "held_out", "labelled_sample", "look_up", "shared_dir", "spread_sample", "table"]
+__all__ = ["Scratch", "held_out", "labelled_sample", "look_up", "shared_dir", "spread_sample", "table", "up_to"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,11 +67,24 @@ def look_up(large: DataFrame, small: DataFrame, keys: list[str], by: Column, how
     return left.join(right, at, how).drop("fq_salt", "fq_salt_", *(f"fq_{k}_" for k in keys))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_chars: int, doc_id: str = "doc_id", text: str = "text", extra: tuple[str, ...] = ()) -> list:
-    """Collected rows (doc_id, text, label, extra columns), at most about ``per_class`` of each label 0 and 1, of texts of at
-    most ``max_chars``. The ids are picked from the labels first, so only this bounded set of ids is broadcast and no
+def up_to(rows: DataFrame, key: Column, text: str, order: Column, usual: int, budget: int) -> DataFrame:
+    """Of a bounded sample the rows of each ``key`` that fit into ``budget`` characters of ``text`` in all: those of at most
+    ``usual`` characters first, by ``order``, then longer ones from the shortest on. So a few long texts neither take
+    the place of many others nor are left out for their length while there is room."""
+    from pyspark.sql import Window
+
+    size = F.length(text).cast("long")
+    w = Window.partitionBy(key).orderBy(F.greatest(size, F.lit(usual)), order).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("fq_chars", F.sum(size).over(w)).where(F.col("fq_chars") <= budget).drop("fq_chars")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, usual: int, budget: int, doc_id: str = "doc_id", text: str = "text", extra: tuple[str, ...] = ()) -> list:
+    """Collected rows (doc_id, text, label, extra columns), at most about ``per_class`` of each label 0 and 1, and at most
+    ``budget`` characters of each (see ``up_to``). The ids are picked from the labels first, so only this bounded set of ids is broadcast and no
     text is shuffled. Of a repeated id the largest label counts."""
     known = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).groupBy(doc_id).agg(F.max(label).alias("fq_label"))
     ids = spread_sample(known, F.col("fq_label"), per_class, F.xxhash64(doc_id))
-    rows = docs.where(F.col(text).isNotNull() & (F.length(text) <= max_chars)).select(doc_id, text, *extra).join(F.broadcast(ids), doc_id)
-    return rows.orderBy(F.xxhash64(doc_id, text), doc_id).limit(2 * per_class).collect()
+    rows = docs.where(F.col(text).isNotNull() & (F.length(text) <= budget)).select(doc_id, text, *extra).join(F.broadcast(ids), doc_id)
+    by = F.xxhash64(doc_id, text)
+    rows = rows.orderBy(by, doc_id).limit(2 * per_class)
+    return up_to(rows, F.col("fq_label"), text, by, usual, budget).orderBy(by, doc_id).collect()

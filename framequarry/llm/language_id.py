@@ -6,7 +6,7 @@ sample; the feature map is phi(x) = k(x, Z) K_ZZ^(-1/2) (any root, here of the C
 batch is scored as presence matrix times landmark matrix times coefficients; the last two are multiplied once, which
 leaves one row of coefficients per landmark n-gram. Scores are a softmax of the outputs with a fitted slope.
 
-The fit uses a bounded sample: ``PER_LANG`` rows of each language, none longer than ``FIT_CHARS``. Every row is scored
+The fit uses a bounded sample: ``PER_LANG`` rows of each language, up to ``FIT_CHARS`` characters in all, texts of more than ``USUAL`` last. Every row is scored
 on its whole text. A null text, or one without letters, is ``und`` with score 0; without any labelled row all are ``und``.
 Repeated and equal rows get equal predictions; of languages that tie the first by name is taken; an empty table gives an
 empty result; existing columns ``lang_pred`` and ``score`` are replaced, others are kept.
@@ -20,12 +20,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framequarry.llm.common import held_out, spread_sample, table
+from framequarry.llm.common import held_out, spread_sample, table, up_to
 from framequarry.llm.dense import cholesky, inverse
 from framequarry.llm.textnum import mix
 
 ORDERS = (1, 2, 3)
-PER_LANG, FIT_CHARS, LANDMARKS, RIDGE = 400, 20_000, 160, 1e-3
+PER_LANG, LANDMARKS, RIDGE = 400, 160, 1e-3
+USUAL, FIT_CHARS = 20_000, 8_000_000
 _BITS = 40
 _LOW = np.uint64((1 << _BITS) - 1)
 
@@ -116,9 +117,11 @@ class KernelModel:
 
 
 def fit_language_model(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> KernelModel | None:
-    """Fits on at most PER_LANG rows of each language of ``labelled``, of at most FIT_CHARS characters and with letters."""
+    """Fits on at most PER_LANG rows of each language of ``labelled`` with letters, and FIT_CHARS characters of each."""
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}") & (F.length(text) <= FIT_CHARS))
-    picked = spread_sample(rows.select(key, text, lang), F.col(lang), PER_LANG, F.xxhash64(key, text)).orderBy(lang, F.xxhash64(key, text)).collect()
+    order = F.xxhash64(key, text)
+    sample = spread_sample(rows.select(key, text, lang), F.col(lang), PER_LANG, order)
+    picked = up_to(sample, F.col(lang), text, order, USUAL, FIT_CHARS).orderBy(lang, order).collect()
     return KernelModel([r[text] for r in picked], [r[lang] for r in picked]) if picked else None
 
 

@@ -11,7 +11,7 @@ inside base spans are observed. Loopy sum-product message passing then labels th
   digits, without punctuation), by the cue word before them and by their other mentions; the marginal alone decides.
 
 Weights (unary by word shape and cue, chain and skip by label pair) are fitted by pseudo-likelihood on a bounded sample:
-``FIT_DOCS`` documents, with texts of ``FIT_CHARS`` characters at most, that have base spans or a cue. Labels there are the
+``FIT_DOCS`` documents that have base spans or a cue, up to ``FIT_CHARS`` characters, texts of more than ``USUAL`` last. Labels there are the
 base spans' and, for secrets, words of secret shape after a cue. While fitting, a random ``MASK`` of the neighbours'
 labels and of the cues is hidden in each pass, so that neither the patterns nor the cues have to be there; unlabelled
 repeats of labelled words are left out. All texts are searched whole, in time linear in their length; edges are as many as words.
@@ -31,12 +31,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framequarry.llm.common import table
+from framequarry.llm.common import table, up_to
 from framequarry.llm.textnum import slices
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 SECRET = 4
-FIT_DOCS, FIT_CHARS = 1500, 20_000
+FIT_DOCS, USUAL, FIT_CHARS = 1500, 20_000, 30_000_000
 PASSES, DAMP, CERTAIN, MASK = 15, 0.5, 0.9, 0.4
 #: The skip potential that a pair of equal labels has before fitting, which pulls it there.
 TIE = 5.0
@@ -278,7 +278,7 @@ def search(texts: list[str], field: SkipChainField | None) -> list[list[tuple[in
 
 
 def fit_field(df: DataFrame, text: str = "text", key: str = "doc_id") -> SkipChainField:
-    """Fits on at most FIT_DOCS documents that may have base spans or cues, with texts of FIT_CHARS characters at most.
+    """Fits on at most FIT_DOCS documents that may have base spans or cues, with FIT_CHARS characters in all.
 
     Documents are drawn by a hash of the row before a pattern looks at any text: a first draw tells what share of them has
     something, and the second one is as large as FIT_DOCS of these need.
@@ -290,7 +290,8 @@ def fit_field(df: DataFrame, text: str = "text", key: str = "doc_id") -> SkipCha
     n, hits = rows.where(F.col("fq_draw") <= 4.0 * FIT_DOCS / max(1, total)).agg(F.count("*"), F.count_if(has)).first()
     share = 1.2 * FIT_DOCS / max(1.0, total * max(1, hits) / max(1, n))
     graph = Graph()
-    for i, r in enumerate(rows.where(F.col("fq_draw") <= share).where(has).orderBy("fq_draw", key).limit(FIT_DOCS).collect()):
+    drawn = rows.where(F.col("fq_draw") <= share).where(has).orderBy("fq_draw", key).limit(FIT_DOCS)
+    for i, r in enumerate(up_to(drawn, F.lit(1), text, F.col("fq_draw"), USUAL, FIT_CHARS).orderBy("fq_draw", key).collect()):
         graph.add(i, r[text], base_spans(r[text]))
     return SkipChainField(graph)
 

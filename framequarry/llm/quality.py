@@ -7,8 +7,8 @@ Each round both views are fitted; each then hands the pool rows of which it is m
 to the other one as pseudo-labels. At the end each view is calibrated (Platt scaling on labelled rows that it was not
 fitted on), and the two calibrated log-odds are averaged and calibrated once more.
 
-Fitting uses bounded samples: ``PER_CLASS`` rows of each label and ``POOL`` unlabelled rows, none longer than
-``FIT_CHARS``. Scoring covers every row and whole texts; the model that is broadcast has a fixed size.
+Fitting uses bounded samples: ``PER_CLASS`` rows of each label and ``POOL`` unlabelled rows, up to
+``FIT_CHARS`` characters of each of the three, texts of more than ``USUAL`` last. Scoring covers every row and whole texts; the model that is broadcast has a fixed size.
 
 Defined results: a null text counts as empty; null language or source is a value of its own; without labelled rows of
 both kinds every document scores 1 and is kept. Texts of any length are scored whole; repeated and equal rows (ties) score
@@ -27,11 +27,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framequarry.llm.common import labelled_sample, spread_sample, table
+from framequarry.llm.common import labelled_sample, spread_sample, table, up_to
 from framequarry.llm.dense import inverse
 from framequarry.llm.textnum import LOWER, slices, span_hashes, words
 
-PER_CLASS, POOL, FIT_CHARS = 1200, 3000, 20_000
+PER_CLASS, POOL = 1200, 3000
+USUAL, FIT_CHARS = 20_000, 24_000_000
 ROUNDS, PER_ROUND, SURE = 4, 120, 0.97
 DIM, TAGS = 2048, 32
 RESULTS = ("p_text", "p_meta", "quality_score", "kept")
@@ -195,12 +196,13 @@ class QualityModel:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality") -> QualityModel | None:
-    picked = [r.asDict() for r in labelled_sample(docs, labels, label, PER_CLASS, FIT_CHARS, extra=("lang", "source"))]
+    picked = [r.asDict() for r in labelled_sample(docs, labels, label, PER_CLASS, USUAL, FIT_CHARS, extra=("lang", "source"))]
     y = np.array([float(r["fq_label"]) for r in picked])
     if len(y) < 8 or y.min() == y.max():
         return None
     known = docs.where(F.col("text").isNotNull() & (F.length("text") <= FIT_CHARS)).select("doc_id", "text", "lang", "source")
-    rows = spread_sample(known, F.lit(1), POOL, F.xxhash64("doc_id", F.lit(1))).collect()
+    order = F.xxhash64("doc_id", F.lit(1))
+    rows = up_to(spread_sample(known, F.lit(1), POOL, order), F.lit(1), "text", order, USUAL, FIT_CHARS).collect()
     pool = sorted((r.asDict() for r in rows), key=lambda r: (zlib.crc32(r["text"].encode()), str(r["doc_id"])))
     ids = {r["doc_id"] for r in picked}
     return QualityModel(picked + [r for r in pool if r["doc_id"] not in ids], y)

@@ -3,8 +3,8 @@
 Features are 46-bit hashes of the distinct words, word stems (the first ``STEM`` bytes of longer words), word pairs and pairs
 that skip one or two words of the whole text (A-Z lower-cased; words are runs of letters, digits and non-ASCII bytes). Every coordinate has its own learning rate
 and L1 keeps most weights at exactly zero; what is left is a sorted hash array with one weight each, which is
-broadcast. Its size is bounded by the bounded sample of labelled rows: ``PER_CLASS`` of each label, none longer than
-``FIT_CHARS``. Hashes are not folded into buckets, so long texts don't gather weight from collisions. A feature of fewer than
+broadcast. Its size is bounded by the bounded sample of labelled rows: ``PER_CLASS`` of each label, up to ``FIT_CHARS``
+characters of each, texts of more than ``USUAL`` last. Hashes are not folded into buckets, so long texts don't gather weight from collisions. A feature of fewer than
 ``MIN_ROWS`` rows of the sample gets no weight: it says little about others, and most features are of this kind.
 
 Defined results: a null or empty text scores by the bias alone; texts of any length are scored whole; repeated and equal
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from framequarry.llm.common import held_out, labelled_sample, table
 from framequarry.llm.textnum import LOWER, mix, slices, span_hashes, words
 
-PER_CLASS, FIT_CHARS = 3000, 60_000
+PER_CLASS, USUAL, FIT_CHARS = 3000, 60_000, 40_000_000
 #: FTRL's alpha, beta, L1, L2 and passes over the sample.
 ALPHA, BETA, L1, L2, PASSES = 3.0, 1.0, 20.0, 0.0, 10
 SKIPS = (1, 2, 3)
@@ -93,8 +93,8 @@ def ftrl(examples: list[np.ndarray], y: np.ndarray, n: int) -> np.ndarray:
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id") -> FtrlModel:
-    """Fits on at most PER_CLASS rows of each label 0 and 1, of at most FIT_CHARS characters."""
-    picked = labelled_sample(docs, labels, label, PER_CLASS, FIT_CHARS, key, text)
+    """Fits on at most PER_CLASS rows and FIT_CHARS characters of each label 0 and 1."""
+    picked = labelled_sample(docs, labels, label, PER_CLASS, USUAL, FIT_CHARS, key, text)
     y = np.array([float(r["fq_label"]) for r in picked])
     if not len(y) or y.min() == y.max():
         return FtrlModel(np.zeros(0, np.uint64), np.zeros(0), -30.0)

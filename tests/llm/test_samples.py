@@ -1,6 +1,9 @@
 """What the bounded samples of the fits hold."""
 
-from framequarry.llm import quality, toxicity
+from pyspark.sql import functions as F
+
+from framequarry.llm import language_id, quality, toxicity
+from framequarry.llm.common import up_to
 
 
 def test_sample_sizes_of_quality():
@@ -13,3 +16,27 @@ def test_toxicity_learns_from_texts_of_40000_characters(spark, docs, prose):
     rows = [(i, t) for i, t in long.items()] + [(10 + i, prose(50, 50 + i)) for i in range(6)]
     labels = spark.createDataFrame([(i, int(i < 10)) for i, _ in rows], "doc_id long, toxic int")
     assert len(toxicity.fit_toxicity(docs(rows), labels).keys)
+
+
+def test_long_texts_fill_what_is_left_of_a_budget(spark):
+    sizes = {0: 10, 1: 10, 2: 900, 3: 300, 4: 10, 5: 5000}
+    rows = spark.createDataFrame([(i, "k", "x" * n) for i, n in sizes.items()] + [(9, "other", "y" * 700)], "id long, k string, t string")
+    pick = lambda budget: sorted(r.id for r in up_to(rows, F.col("k"), "t", F.xxhash64("id"), 50, budget).collect())
+    assert pick(10_000) == [0, 1, 2, 3, 4, 5, 9]
+    assert pick(1300) == [0, 1, 2, 3, 4, 9]
+    assert pick(500) == [0, 1, 3, 4]
+    assert pick(0) == []
+
+
+def test_a_language_of_long_texts_only_is_learned(spark, docs):
+    def long(words, i):
+        return " ".join(words[(j * (i + 3)) % len(words)] for j in range(6000))
+
+    one, two = "the of and with from this that house water".split(), "der und mit aus dieser haus wasser nicht ein".split()
+    rows = [(i, long(one, i) if i < 6 else " ".join(two * 3), "en" if i < 6 else "de") for i in range(12)]
+    assert len(rows[0][1]) > language_id.USUAL
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit_language_model(df)
+    assert sorted(model.langs) == ["de", "en"]
+    got = {r.doc_id: r.lang_pred for r in language_id.identify_language(df.select("doc_id", "text"), model).collect()}
+    assert got == {i: lang for i, _, lang in rows}
