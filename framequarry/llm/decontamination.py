@@ -64,23 +64,30 @@ def find_windows(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     base = source.select("doc_id", F.xxhash64("text").alias("text_hash"), word_array(F.col("text")).alias("w"))
 
-    def positions(k: int) -> DataFrame:
-        return base.where(f"size(w) >= {k}").select("doc_id", "text_hash", "w", F.expr(f"explode(sequence(0, size(w) - {k}))").alias("p"))
+    # Each shingle hash starts from its length, so one column holds those of all lengths and every document is read in
+    # one pass for the counts and one for the join, whatever the lengths of the items.
+    of_window = "case " + " ".join(f"when k = {k} then {shingle_hash('win', 'o', k)}" for k in ks) + " end"
+    of_position = [f"case when p + {k} <= size(w) then {shingle_hash('w', 'p', k)} end" for k in ks]
+
+    def positions(*columns: str) -> DataFrame:
+        at = base.where(f"size(w) >= {ks[0]}").select("doc_id", "text_hash", "w", F.expr(f"explode(sequence(0, size(w) - {ks[0]}))").alias("p"))
+        h = of_position[0] if len(ks) == 1 else f"explode(array_compact(array({', '.join(of_position)})))"
+        return at.selectExpr(*columns, f"{h} as h")
 
     found = base.select("doc_id", "text_hash", F.expr("size(w)").alias("n_words"), F.lit(1).alias("row"), F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("len"), F.lit(None).cast("array<string>").alias("items"))
-    for k in ks or []:
-        mine = wins.where(F.col("k") == k)
+    if ks:
         # Every shingle of every window, with its place, and how often the documents have it.
-        places = mine.select("win_id", "win", F.expr("explode(sequence(0, len - k))").alias("o")).select("win_id", "o", F.expr(shingle_hash("win", "o", k)).alias("h"))
-        df = positions(k).select(F.expr(shingle_hash("w", "p", k)).alias("h")).join(near(places.select("h").distinct()), "h").groupBy("h").agg(F.count("*").alias("df"))
+        places = wins.select("win_id", "win", "k", F.expr("explode(sequence(0, len - k))").alias("o")).selectExpr("win_id", "o", f"{of_window} as h")
+        df = positions().join(near(places.select("h").distinct()), "h").groupBy("h").agg(F.count("*").alias("df"))
         rarest = places.join(df, "h", "left").groupBy("win_id").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), F.col("o"), F.col("h"))).alias("m"))
         # A window with a shingle that no document has can't occur.
-        prefix = rarest.where("m.df > 0").selectExpr("win_id", "m.h as h", "m.o as o").join(mine.select("win_id", "win", "len", "items"), "win_id").drop("win_id")
+        prefix = rarest.where("m.df > 0").selectExpr("win_id", "m.h as h", "m.o as o").join(wins.select("win_id", "win", "len", "items"), "win_id").drop("win_id")
         if small:
-            hit = positions(k).withColumn("h", F.expr(shingle_hash("w", "p", k))).join(F.broadcast(prefix), "h")
+            hit = positions("doc_id", "text_hash", "w", "p").join(F.broadcast(prefix), "h")
             hit = hit.where("p >= o and p - o + len <= size(w)").where("slice(w, p - o + 1, len) = win")
         else:
-            lean = positions(k).select("doc_id", "text_hash", "p", F.expr("size(w)").alias("n"), F.expr(shingle_hash("w", "p", k)).alias("h"), F.expr(f"greatest(p - {window}, 0)").alias("from"), F.expr(f"slice(w, greatest(p - {window}, 0) + 1, {2 * window})").alias("near"))
+            start = f"greatest(p - {window}, 0)"
+            lean = positions("doc_id", "text_hash", "p", "size(w) as n", f"{start} as from", f"slice(w, {start} + 1, {2 * window}) as near")
             hit = lean.join(prefix, "h").where("p >= o and p - o + len <= n").where("slice(near, p - o - from + 1, len) = win")
         found = found.unionByName(hit.select("doc_id", "text_hash", F.lit(0).alias("n_words"), F.lit(0).alias("row"), F.expr("p - o").alias("start"), "len", "items"))
 
