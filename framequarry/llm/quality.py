@@ -168,9 +168,10 @@ class QualityModel:
             wb = newton(b[at[1]], label[1], 1.0)
             if r == ROUNDS:
                 break
-            for view, p in enumerate((_sigmoid(a @ wa), _sigmoid(b @ wb))):
-                for want, sure, share in ((1.0, p, rate), (0.0, 1 - p, 1 - rate)):
-                    best = np.flatnonzero(free & (sure >= SURE))
+            # Log-odds rank the surest rows, whose probabilities all round to 1.
+            for view, z in enumerate((a @ wa, b @ wb)):
+                for want, sure, share in ((1.0, z, rate), (0.0, -z, 1 - rate)):
+                    best = np.flatnonzero(free & (sure >= _logit(SURE)))
                     best = best[np.argsort(-sure[best], kind="stable")][: max(1, round(PER_ROUND * share))]
                     given[1 - view].update((int(i), want) for i in best)
             free[[i for g in given for i in g]] = False
