@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from framequarry.scratch import Scratch, shared_dir
 
-__all__ = ["Scratch", "held_out", "labelled_sample", "look_up", "shared_dir", "spread_sample", "table", "up_to"]
+__all__ = ["Scratch", "held_out", "join_counted", "labelled_sample", "look_up", "shared_dir", "spread_sample", "table", "up_to"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,26 @@ def look_up(large: DataFrame, small: DataFrame, keys: list[str], by: Column, how
     return left.join(right, at, how).drop("fq_salt", "fq_salt_", *(f"fq_{k}_" for k in keys))
 
 
+#: ``join_counted`` broadcasts the keys that hold more than one in so many of all rows; there are fewer than this of them.
+HOT_SHARE = 10_000
+
+
+def join_counted(large: DataFrame, small: DataFrame, keys: list[str], n: str) -> DataFrame:
+    """``large`` inner joined with ``small``, null-safe on ``keys``. ``small`` has one row for each value of the keys and in column
+    ``n`` the number of rows of ``large`` that have it. Keys with more than one in ``HOT_SHARE`` of all rows, which are
+    fewer than ``HOT_SHARE`` at any size, are broadcast, so their rows stay where they are; all others go by a shuffle
+    in which no key is large. Both sides are read twice and should be written tables."""
+    total = small.agg(F.sum(n)).first()[0] or 0
+    right = small.withColumnsRenamed({k: f"fq_{k}_" for k in keys})
+    at = F.lit(True)
+    for k in keys:
+        at &= F.col(k).eqNullSafe(F.col(f"fq_{k}_"))
+    is_hot = F.col(n).cast("decimal(38,0)") * HOT_SHARE > F.lit(int(total)).cast("decimal(38,0)")
+    hot, rest = F.broadcast(right.where(is_hot)), right.where(~is_hot)
+    there = large.join(F.broadcast(right.where(is_hot).select(*(f"fq_{k}_" for k in keys))), at, "left_anti").join(rest, at)
+    return large.join(hot, at).unionByName(there).drop(*(f"fq_{k}_" for k in keys))
+
+
 def up_to(rows: DataFrame, key: Column, text: str, order: Column, usual: int, budget: int) -> DataFrame:
     """Of a bounded sample the rows of each ``key`` that fit into ``budget`` characters of ``text`` in all: those of at most
     ``usual`` characters first, by ``order``, then longer ones from the shortest on. So a few long texts neither take

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from framequarry.llm.decontamination import ORACLE as OP8_SQL
 from framequarry.llm.decontamination import op8_decontamination
+from framequarry.llm.exact_dedup import ORACLE as OP11_SQL
+from framequarry.llm.exact_dedup import op11_exact_dedup
 from framequarry.llm.jaccard import op3_jaccard
 from framequarry.llm.language_id import op10_language_id
 from framequarry.llm.packing import op1_packing
@@ -30,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_language_id": op10_language_id,
+    "op11_exact_dedup": op11_exact_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_url_filter": url_filter_sql(), "op3_jaccard": JACCARD_SQL, "op7_sharding": SHARDING_SQL, "op8_decontamination": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_url_filter": url_filter_sql(), "op3_jaccard": JACCARD_SQL, "op7_sharding": SHARDING_SQL, "op8_decontamination": OP8_SQL, "op11_exact_dedup": OP11_SQL}

@@ -1,0 +1,92 @@
+"""Exact dedup against brute force, on odd rows and on a hot group."""
+
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from framequarry.llm import exact_dedup
+from framequarry.llm.exact_dedup import exact_groups, maybe_shared, shared_keys, squeezed
+
+DROP = {ord(c): None for c in "\x20\x09\x0a\x0b\x0c\x0d"}
+
+
+def brute(rows):
+    groups = {}
+    for i, (doc_id, text) in enumerate(rows):
+        groups.setdefault((text or "").translate(DROP), []).append((-len(text or ""), doc_id is None, doc_id or 0, i, doc_id))
+    out = []
+    for g in groups.values():
+        best = min(g)
+        out += [(r[4], best[4], len(g), r[3] == best[3]) for r in g]
+    return sorted(out, key=str)
+
+
+def run(docs, rows, **kw):
+    return sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_groups(docs(rows), **kw).collect()), key=str)
+
+
+def plain(rows):
+    """Which of several alike rows is kept doesn't show in the ids."""
+    return sorted(rows, key=str)
+
+
+def test_against_brute_force(spark, docs):
+    r = random.Random(5)
+    bodies = ["".join(r.choice("ab \t\n\x0b\x0c\ré ") for _ in range(r.randrange(9))) for _ in range(300)]
+    rows = [(i, b) for i, b in enumerate(bodies)]
+    assert run(docs, rows) == brute(rows)
+    assert run(docs, rows, prefix=1) == brute(rows)
+
+
+def test_nulls_spaces_repeats_and_ties(spark, docs):
+    rows = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (None, "a  b"), (None, "ab"), (5, "a b"), (5, "a b"), (6, "a b"), (7, "A b")]
+    got = plain(run(docs, rows))
+    assert got == plain(brute(rows))
+    assert sum(k for *_, k in got) == 4
+    # a null id loses a tie against any other
+    assert run(docs, [(None, "x"), (9, "x")]) == sorted([(None, 9, 2, False), (9, 9, 2, True)], key=str)
+
+
+def test_same_length_and_prefix_but_other_text(spark, docs):
+    a, b = "x" * 5000 + "1", "x" * 5000 + "2"
+    assert run(docs, [(1, a), (2, b), (3, a + " ")]) == sorted([(1, 3, 2, False), (2, 2, 1, True), (3, 3, 2, True)], key=str)
+
+
+def test_long_texts_differ_at_their_end(spark, docs):
+    big = "wort " * 1_000_000
+    assert [(r[0], r[2]) for r in run(docs, [(1, big + "a"), (2, big + "b"), (3, " " + big + "a")])] == [(1, 2), (2, 1), (3, 2)]
+
+
+def test_empty_table_and_clashing_names(spark, docs):
+    assert exact_groups(docs([])).collect() == []
+    odd = docs([(1, "a"), (2, "a")]).withColumns({"kept": F.lit(5), "fq_key": F.lit(1), "keep_id": F.lit("x"), "n": F.lit(0)})
+    assert {(r.doc_id, r.kept) for r in exact_groups(odd).collect()} == {(1, True), (2, False)}
+    with pytest.raises(ValueError):
+        exact_groups(odd, carry=("kept",))
+
+
+def test_hot_group_goes_by_broadcast_and_the_rest_by_shuffle(spark, docs, monkeypatch):
+    monkeypatch.setattr("framequarry.llm.common.HOT_SHARE", 4)
+    rows = [(i, "copy" if i % 3 else f"own {i // 9}") for i in range(300)]
+    assert run(docs, rows) == brute(rows)
+
+
+def test_a_bitmap_that_is_full_changes_nothing(spark, docs, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "BITMAP", 1)
+    rows = [(i, f"text {i % 90}") for i in range(200)]
+    assert run(docs, rows) == brute(rows)
+
+
+def test_only_rows_with_shared_length_and_prefix_are_hashed(spark, docs):
+    from framequarry.llm.common import Scratch
+
+    rows = docs([(1, "abc"), (2, "abd"), (3, "abc"), (4, "abcdef")]).withColumn("n", F.length("text"))
+    bits = shared_keys(rows.select(F.xxhash64("n").alias("fq_key")), Scratch(spark))
+    assert {r.doc_id for r in maybe_shared(rows, F.xxhash64("n"), bits).where("fq_shared").collect()} == {1, 2, 3}
+
+
+def test_digest_is_of_the_squeezed_text(spark, docs):
+    (row,) = docs([(1, " ä\n b ")]).select(F.sha2(squeezed(F.col("text")), 256).alias("h")).collect()
+    assert row.h == hashlib.sha256("äb".encode()).hexdigest()
