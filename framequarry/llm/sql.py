@@ -1,4 +1,4 @@
-"""DuckDB SQL of queries that SQL can express whole: the URL filter, the Jaccard join and sharding."""
+"""DuckDB SQL of queries that SQL can express whole: the URL filter, the Jaccard join, sharding and spelling variants."""
 
 from __future__ import annotations
 
@@ -59,3 +59,21 @@ p as (select *, cast(least(7, (2 * before + size) * 8 // (2 * total)) as int) as
 select doc_id, cast(size as bigint) as size, cast(crc as bigint) as text_crc32, 'bytes' as law, shard,
   cast(row_number() over (partition by shard order by doc_id nulls first, r) - 1 as bigint) as slot, cast(null as int) as grown_shard from p
 """
+
+#: Near words share what is left after taking one letter out, at the same place (a letter replaced) or as a whole (one more or less).
+SPELLING_SQL = rf"""
+with recursive t as (select {_CRC_TABLE} as crc_table),
+r as (select coalesce(cast(doc_id as varchar), 'null') as id, unnest(regexp_extract_all({_LOW.format("text")}, '[a-z\x{{C0}}-\x{{FF}}]+')) as w from documents),
+c as (select id, w, count(*) as n from r where length(w) >= 6 group by all),
+h as (select w, n, {_CRC.format("id || ':' || w")} as h from c, t),
+d as (select case when h % 199 = 0 then substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) else w end as word, n from h),
+v as (select word, sum(n) as n from d where length(word) >= 6 group by word having sum(n) >= 5),
+s as (select word, n, i, substr(word, 1, i) || substr(word, i + 2) as rest from (select word, n, unnest(range(length(word))) as i from v)),
+near as (select a.word, b.word as other, b.n as other_n from s a join s b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+  union select s.word, v.word, v.n from s join v on s.rest = v.word union select v.word, s.word, s.n from s join v on s.rest = v.word),
+best as (select word, count(*) as n_near, arg_min(other, (-other_n, other)) as other, max(other_n) as other_n from near group by word),
+f as (select word, n, coalesce(n_near, 0) as n_near, case when other_n >= 5 * n then other end as form, case when other_n >= 5 * n then other_n end as form_n from v left join best using (word)),
+chain as (select word, word as link, 0 as d from f union all select chain.word, f.form, d + 1 from chain join f on chain.link = f.word where f.form is not null),
+ends as (select word, arg_max(link, d) as root from chain group by word)
+select word, form, root, cast(n as bigint) as n, cast(n_near as bigint) as n_near, cast(form_n as bigint) as form_n from f join ends using (word)
+"""
