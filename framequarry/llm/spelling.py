@@ -41,8 +41,8 @@ TIMES = 5
 #: Words of a shard, about 25 bytes each.
 SHARD_WORDS = 250_000
 BROADCAST_BYTES = 32 << 20
-#: Words that a task looks up at once.
-QUERIES = 2048
+#: Words that a task looks up at once, and in all, a second's work for each shard.
+QUERIES, TASK_WORDS = 2048, 20_000
 #: Bytes of words that a task counts at once.
 COUNTED = 16 << 20
 
@@ -172,7 +172,7 @@ def trie_shards(words: DataFrame, total: int, shard_words: int) -> DataFrame:
     return words.repartitionByRange(ranges, "word").sortWithinPartitions("word").mapInArrow(build, "size long, first string, trie binary, words binary, ns binary")
 
 
-def near_words(words: DataFrame, shards: DataFrame, broadcast_bytes: int, scratch: Scratch) -> DataFrame:
+def near_words(words: DataFrame, total: int, shards: DataFrame, broadcast_bytes: int, scratch: Scratch) -> DataFrame:
     """word, n_near and best (-n, word) of the near words in each group of shards that is broadcast together."""
     spark = words.sparkSession
     groups, room = [], 0
@@ -207,7 +207,7 @@ def near_words(words: DataFrame, shards: DataFrame, broadcast_bytes: int, scratc
                     hit = np.flatnonzero(count)
                     yield pa.RecordBatch.from_arrays([pa.array([asked[i] for i in hit], pa.string()), pa.array(count[hit]), pa.array(best_n[hit]), pa.array(list(best[hit]), pa.string())], names=["word", "n_near", "best_n", "best"])
 
-        found = words.select("word").mapInArrow(look_up, "word string, n_near long, best_n long, best string")
+        found = words.select("word").repartition(max(1, -(-total // TASK_WORDS)), "word").mapInArrow(look_up, "word string, n_near long, best_n long, best string")
         out = out.unionByName(scratch.write(found))
         sent.unpersist()
     return out.groupBy("word").agg(F.sum("n_near").alias("n_near"), F.min(F.when(F.col("best").isNotNull(), F.struct((-F.col("best_n")).alias("m"), F.col("best").alias("w")))).alias("best"))
@@ -232,7 +232,7 @@ def spelling_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     words = scratch.write(vocabulary(docs, doc_id, text, **rules))
     total, most = words.agg(F.count("*"), F.max("n")).first()
     shards = scratch.write(trie_shards(words, total, shard_words))
-    near = near_words(words, shards, broadcast_bytes, scratch)
+    near = near_words(words, total, shards, broadcast_bytes, scratch)
     follows = F.col("best.m") * -1 >= F.col("n") * TIMES
     named = words.join(near, "word").select("word", "n", "n_near", F.when(follows, F.col("best.w")).alias("form"), F.when(follows, -F.col("best.m")).alias("form_n"))
     named = scratch.write(named)
