@@ -2,7 +2,7 @@
 
 Method: size-banded tiles with hashed bitmap signatures and exact verification, made sub-quadratic without losing a link.
 
-1. Shingle statistics. Chunks of whole documents send their distinct shingles (48-bit hashes, sorted, delta-coded) to
+1. Shingle statistics. Chunks of whole documents send their distinct shingles (56 bits of a hash keyed anew for each run, sorted, delta-coded) to
    hash ranges. A shingle that a chunk has more than once goes out once, so no range gathers more entries of it than
    there are chunks. Ranges return the document frequency of every shingle that more than one document has.
 2. A document can only link if at least 0.8 of its set is shared. Of such documents the prefix is kept: with shingles in
@@ -33,6 +33,8 @@ than the id and text are not read, so their names can't clash.
 
 from __future__ import annotations
 
+import secrets
+
 import numpy as np
 import pyarrow as pa
 import pandas as pd
@@ -46,7 +48,9 @@ from framequarry.llm.textnum import LOWER, mix, shingles, slices, span_hashes, w
 
 K, PERCENT = 5, 80
 CHUNK_BYTES, RANGE_BYTES, CHUNK_DOCS = 8 << 20, 8 << 20, 60_000
-TOKEN_BITS, BAND, BITMAP = 48, 1.26, 1024
+TOKEN_BITS, BAND, BITMAP = 56, 1.26, 1024
+#: Rows whose numbers fit above a token's bits.
+ROWS = 1 << (64 - TOKEN_BITS)
 LEADERS, BLOCK, COLUMNS, HOT = 24, 512, 8192, 2048
 _MANY = 65_535
 _TOKEN = np.uint64((1 << TOKEN_BITS) - 1)
@@ -61,16 +65,18 @@ def unpack_sorted(b: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view("<u8").ravel(), dtype=np.uint64) if b else np.zeros(0, np.uint64)
 
 
-def shingle_sets(col: pa.Array):
+def shingle_sets(col: pa.Array, key: int):
     """(first row, last row, tokens, rows) of slices: distinct tokens of each row, sorted by row and token."""
     for i, j, data, off in slices(col):
         data = LOWER[data]
         st, en, row = words(data, off)
-        value, at = shingles(span_hashes(data, st, en), row, j - i, K)
-        for a in range(0, j - i, 1 << 15):  # rows need to fit above the token's bits
-            here = (at >= a) & (at < a + (1 << 15)) if j - i > 1 << 15 else slice(None)
-            both = np.unique(((at[here] - a).astype(np.uint64) << np.uint64(TOKEN_BITS)) | (value[here] >> np.uint64(64 - TOKEN_BITS)))
-            yield i + a, min(j, i + a + (1 << 15)), both & _TOKEN, (both >> np.uint64(TOKEN_BITS)).astype(np.int64)
+        value, at = shingles(span_hashes(data, st, en, key), row, j - i, K)
+        order = np.argsort(at, kind="stable")
+        value, at = value[order] >> np.uint64(64 - TOKEN_BITS), at[order]
+        for a in range(0, j - i, ROWS):
+            here = slice(*np.searchsorted(at, [a, a + ROWS]))
+            both = np.unique(((at[here] - a).astype(np.uint64) << np.uint64(TOKEN_BITS)) | value[here])
+            yield i + a, min(j, i + a + ROWS), both & _TOKEN, (both >> np.uint64(TOKEN_BITS)).astype(np.int64)
 
 
 PACKED = [("chunk", T.LongType()), ("kind", T.IntegerType()), ("tokens", T.BinaryType()), ("docs", T.BinaryType()), ("counts", T.BinaryType())]
@@ -85,7 +91,7 @@ def _signature(tokens: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _send(ranges: int):
+def _send(ranges: int, key: int):
     edges = np.array([(b << TOKEN_BITS) // ranges for b in range(ranges + 1)], np.uint64)
 
     def flush(chunk: int, ids: list, parts: list, n_docs: int):
@@ -118,7 +124,7 @@ def _send(ranges: int):
         chunk = TaskContext.get().partitionId() << 32
         ids, parts, n, size = [], [], 0, 0
         for b in batches:
-            for i, j, t, row in shingle_sets(b.column(1)):
+            for i, j, t, row in shingle_sets(b.column(1), key):
                 if n and (size >= CHUNK_BYTES or n + j - i > CHUNK_DOCS):
                     yield from flush(chunk, ids, parts, n)
                     chunk, ids, parts, n, size = chunk + 1, [], [], 0, 0
@@ -222,7 +228,7 @@ def shingle_table(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     ranges = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_BYTES))
     id_field = src.schema[0]
     packed = T.StructType([T.StructField(n, t) for n, t in PACKED])
-    sent = src.mapInArrow(_send(ranges), T.StructType([T.StructField("key", T.IntegerType()), *packed.fields]))
+    sent = src.mapInArrow(_send(ranges, secrets.randbits(64)), T.StructType([T.StructField("key", T.IntegerType()), *packed.fields]))
     back = sent.groupBy("key").applyInPandas(_frequencies, packed)
     return back.groupBy("chunk").applyInPandas(_assemble, T.StructType([T.StructField("doc_id", id_field.dataType), *(T.StructField(n, t) for n, t in NODE_FIELDS)]))
 

@@ -16,6 +16,8 @@ SLICE = 1 << 20
 _MUL = 0x9E3779B97F4A7C15 | 1
 _STEP = 0xD6E8FEB86659FD93 | 1
 _MASK = (1 << 64) - 1
+#: The first 0 to 8 bytes of a little-endian number.
+_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 #: Bytes between words: space and 0x09-0x0D.
 SPACE = np.zeros(256, bool)
@@ -34,23 +36,6 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-class _Powers:
-    def __init__(self) -> None:
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n + 1:
-            m = max(n + 1, SLICE + 4096)
-            for name, base in (("up", _MUL), ("down", pow(_MUL, -1, 1 << 64))):
-                a = np.full(m, base, np.uint64)
-                a[0] = 1
-                setattr(self, name, np.cumprod(a, dtype=np.uint64))
-        return self.up, self.down
-
-
-_powers = _Powers()
-
-
 def buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and row offsets (from 0) of a string column; null is the empty text."""
     if isinstance(col, pa.ChunkedArray):
@@ -93,12 +78,28 @@ def words(data: np.ndarray, off: np.ndarray, sep: np.ndarray = SPACE) -> tuple[n
     return starts, np.flatnonzero(last) + 1, np.searchsorted(off, starts, side="right") - 1
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans, by prefix sums of a polynomial; about three passes over the bytes."""
-    up, down = _powers.upto(len(data))
-    c = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=c[1:])
-    return mix((c[ends] - c[starts]) * down[starts])
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: int = 0) -> np.ndarray:
+    """64-bit hashes of byte spans: a span's pieces of eight bytes are mixed with their place and the key, and summed up.
+
+    Spans of one length up to eight bytes never collide. No pattern in long spans makes their hashes equal, as the pieces
+    enter through a function that isn't linear; who doesn't know ``key`` can't make texts for it either, so what decides
+    by hash alone takes a random one.
+    """
+    size = ends - starts
+    pieces = np.maximum((size + 7) >> 3, 1)
+    first = np.cumsum(pieces) - pieces
+    eight = np.ndarray((len(data) + 1,), "<u8", buffer=np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    if len(size) and pieces.max() > 1:
+        k = np.arange(int(pieces.sum())) - np.repeat(first, pieces)
+        at, left = np.repeat(starts, pieces) + 8 * k, np.repeat(size, pieces) - 8 * k
+    else:
+        k, at, left = np.zeros(len(size), np.int64), starts, size
+    salt = mix(np.array([key & _MASK], np.uint64))
+    v = mix((eight[at] & _BYTES[np.minimum(left, 8)]) + salt)
+    v = mix(v ^ (k.astype(np.uint64) * np.uint64(_STEP) + salt))
+    if len(v) > len(size):
+        v = np.add.reduceat(v, first)
+    return mix(v + size.astype(np.uint64) * np.uint64(_MUL))
 
 
 def shingles(h: np.ndarray, row: np.ndarray, n_rows: int, k: int) -> tuple[np.ndarray, np.ndarray]:
