@@ -87,24 +87,32 @@ def join_counted(large: DataFrame, small: DataFrame, keys: list[str], n: str) ->
     return large.join(hot, at).unionByName(there).drop(*(f"fq_{k}_" for k in keys))
 
 
-def up_to(rows: DataFrame, key: Column, text: str, order: Column, usual: int, budget: int) -> DataFrame:
+def up_to(rows: DataFrame, key: Column, text: str, order: Column, usual: int, budget: int, size: Column | None = None) -> DataFrame:
     """Of a bounded sample the rows of each ``key`` that fit into ``budget`` characters of ``text`` in all: those of at most
     ``usual`` characters first, by ``order``, then longer ones from the shortest on. So a few long texts neither take
-    the place of many others nor are left out for their length while there is room."""
+    the place of many others nor are left out for their length while there is room. ``size`` stands in where the rows have
+    no text but its length."""
     from pyspark.sql import Window
 
-    size = F.length(text).cast("long")
+    size = F.length(text).cast("long") if size is None else size
     w = Window.partitionBy(key).orderBy(F.greatest(size, F.lit(usual)), order).rowsBetween(Window.unboundedPreceding, 0)
     return rows.withColumn("fq_chars", F.sum(size).over(w)).where(F.col("fq_chars") <= budget).drop("fq_chars")
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, usual: int, budget: int, doc_id: str = "doc_id", text: str = "text", extra: tuple[str, ...] = ()) -> list:
-    """Collected rows (doc_id, text, label, extra columns), at most about ``per_class`` of each label 0 and 1, and at most
-    ``budget`` characters of each (see ``up_to``). The ids are picked from the labels first, so only this bounded set of ids is broadcast and no
-    text is shuffled. Of a repeated id the largest label counts."""
+    """Collected rows (doc_id, text, label, extra columns), one of each id, at most about ``per_class`` of each label 0 and 1, and at
+    most ``budget`` characters of each (see ``up_to``).
+
+    The ids are picked from the labels first, so only this bounded set of ids is broadcast. An id that many rows have is
+    one row of the sample, the one whose text has the smallest hash; this is settled on hashes and lengths, before a text
+    is taken. Of a repeated label the largest counts."""
     known = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).groupBy(doc_id).agg(F.max(label).alias("fq_label"))
     ids = spread_sample(known, F.col("fq_label"), per_class, F.xxhash64(doc_id))
-    rows = docs.where(F.col(text).isNotNull() & (F.length(text) <= budget)).select(doc_id, text, *extra).join(F.broadcast(ids), doc_id)
+    usable = docs.where(F.col(text).isNotNull() & (F.length(text) <= budget)).select(doc_id, text, *extra)
     by = F.xxhash64(doc_id, text)
-    rows = rows.orderBy(by, doc_id).limit(2 * per_class)
-    return up_to(rows, F.col("fq_label"), text, by, usual, budget).orderBy(by, doc_id).collect()
+    seen = usable.join(F.broadcast(ids), doc_id).select(doc_id, "fq_label", by.alias("fq_by"), F.length(text).cast("long").alias("fq_size"))
+    one = seen.groupBy(doc_id, "fq_label").agg(F.min(F.struct("fq_by", "fq_size")).alias("m")).select(doc_id, "fq_label", "m.*")
+    chosen = up_to(one, F.col("fq_label"), text, F.col("fq_by"), usual, budget, F.col("fq_size")).select(F.col(doc_id).alias("fq_id"), "fq_label", "fq_by")
+    rows = usable.join(F.broadcast(chosen), (F.col(doc_id) == F.col("fq_id")) & (by == F.col("fq_by"))).drop("fq_id")
+    picked = rows.groupBy(doc_id, "fq_label", "fq_by").agg(F.first(text).alias(text), *(F.min(c).alias(c) for c in extra))
+    return picked.select(doc_id, text, *extra, "fq_label", "fq_by").orderBy("fq_by", doc_id).drop("fq_by").collect()

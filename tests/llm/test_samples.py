@@ -40,3 +40,17 @@ def test_a_language_of_long_texts_only_is_learned(spark, docs):
     assert sorted(model.langs) == ["de", "en"]
     got = {r.doc_id: r.lang_pred for r in language_id.identify_language(df.select("doc_id", "text"), model).collect()}
     assert got == {i: lang for i, _, lang in rows}
+
+
+def test_a_repeated_id_is_one_row_of_the_sample(spark, docs, prose):
+    """Ten thousand rows of one labelled id, alike and not, leave the other labelled rows in the sample."""
+    from framequarry.llm.common import labelled_sample
+
+    rows = [(i, prose(30, i)) for i in range(60)] + [(60, prose(30, 60))] * 6000 + [(61, prose(30, 1000 + i % 40)) for i in range(4000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(62)], "doc_id long, toxic int")
+    got = labelled_sample(docs(rows), labels, "toxic", 40, 1000, 100_000, extra=("lang",))
+    assert sorted(r.doc_id for r in got) == list(range(62)) and {r.lang for r in got} == {"en"}
+    assert [r.doc_id for r in got] == [r.doc_id for r in labelled_sample(docs(rows[::-1]), labels, "toxic", 40, 1000, 100_000, extra=("lang",))]
+    model = toxicity.fit_toxicity(docs(rows), labels)
+    alone = toxicity.fit_toxicity(docs([*rows[:61], min((r for r in rows if r[0] == 61), key=lambda r: [x.text for x in got if x.doc_id == 61] != [r[1]])]), labels)
+    assert model.keys.tolist() == alone.keys.tolist() and model.bias == alone.bias
