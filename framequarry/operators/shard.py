@@ -61,3 +61,19 @@ def admit(df: DataFrame, order: str, depth: int, high_water: int, batch: int) ->
     """The first rows that fit below the high-water mark, at most a batch."""
     room = max(0, min(batch, high_water - depth))
     return df.orderBy(order).limit(room)
+
+
+def admit_weight(df: DataFrame, order: str, weight: str, room: int, name: str = "upto") -> DataFrame:
+    """Rows in ``order``, a unique key, while their weights fit into ``room``; ``name`` is the sum up to and with the row.
+
+    Weights are whole numbers from 0 on; null counts as 0. The rows are sorted by ranges once. Prefix sums of the ranges' totals tell which
+    ranges begin inside the room; only these are read again, and only the last of them holds rows that are left out.
+    """
+    id_ = F.monotonically_increasing_id()
+    weighed = df.withColumn("fq_weight", F.coalesce(F.col(weight).cast("long"), F.lit(0)))
+    placed = Scratch(df.sparkSession).write(weighed.repartitionByRange(order).sortWithinPartitions(order).withColumn("fq_part", F.shiftright(id_, 33)))
+    totals = placed.groupBy("fq_part").agg(F.sum("fq_weight").alias("fq_total"))
+    before = totals.select("fq_part", (F.sum("fq_total").over(Window.orderBy("fq_part")) - F.col("fq_total")).alias("fq_before"))  # one row a range
+    inside = placed.join(F.broadcast(before.where(F.col("fq_before") <= room)), "fq_part")
+    run = F.sum("fq_weight").over(Window.partitionBy("fq_part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    return inside.withColumn(name, F.col("fq_before") + run).where(F.col(name) <= room).select(*df.columns, name)

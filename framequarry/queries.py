@@ -578,3 +578,7 @@ def strip_and_cut(spark, d):
 def longest_per_lang(spark, d):
     first = dedup.last_wins(read(spark, d, "documents").select("lang", "n_chars", (-F.col("doc_id")).alias("neg")), ["lang"], ["n_chars", "neg"])
     return first.select("lang", F.col("n_chars").alias("most"), (-F.col("neg")).alias("doc_id"))
+
+
+# Registers its own queries by the decorator above.
+from framequarry import stateful_queries  # noqa: E402, F401

@@ -63,18 +63,6 @@ def count_attempts(stream: DataFrame, most: int = 3) -> DataFrame:
     return stream.groupBy("id").applyInPandasWithState(step, "id string, tries long, given_up boolean", "tries long", "update", "NoTimeout")
 
 
-def classify_stream(frames: DataFrame, folder: str, checkpoint: str, model: str = "people_yes_no") -> None:
-    """Frames classified as their files arrive, one table ``b<batch>`` for each batch; what earlier batches have isn't asked again."""
-    from framequarry.plans.frames import classify
-
-    def step(batch: DataFrame, number: int) -> None:
-        before = [f"{folder}/b{n}" for n in range(number)]
-        done = batch.sparkSession.read.parquet(*before) if before else None
-        classify(batch.dropDuplicates(["image_id"]), done, model).write.mode("overwrite").parquet(f"{folder}/b{number}")
-
-    frames.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-
-
 def resolve_now(waiting: DataFrame, attempts: DataFrame, done: DataFrame, now: float, depth: int, high_water: int = 50, batch: int = 20, wait: float = 6 * 3600.0) -> DataFrame:
     """id and ord of what is dispatched at ``now``: ids not done, never tried or last tried longer ago than ``wait``, the first ones by
     ord that fit below the high-water mark, at most ``batch``."""

@@ -12,6 +12,7 @@ from framequarry.plans import publish
 from framequarry.scratch import Scratch
 from framequarry.sinks import writers
 from framequarry.sources import readers
+from framequarry.streaming import once
 from framequarry.streaming import queries as streams
 
 
@@ -66,7 +67,7 @@ def test_resolver_and_classifier_streams(spark, tmp_path):
     streams.resolver_stream(q.select("id", F.substring("id", 3, 9).cast("int").alias("ord")), done, str(tmp_path / "r"), str(tmp_path / "cp1"), lambda: 1000.0, lambda: 0, batch=2)
     sent = [r.id for n in (0, 1) for r in spark.read.parquet(str(tmp_path / "r" / f"d{n}")).orderBy("ord").collect()]
     assert "id1" not in sent and sorted(sent) == ["id0", "id2", "id3"]
-    streams.classify_stream(q.select(F.col("id").alias("image_id")), str(tmp_path / "c"), str(tmp_path / "cp2"))
+    once.classify_stream(q.select(F.col("id").alias("image_id")), str(tmp_path / "c"), str(tmp_path / "cp2"))
     assert spark.read.parquet(str(tmp_path / "c" / "b0"), str(tmp_path / "c" / "b1")).count() == 4
 
 
