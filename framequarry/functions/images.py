@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from framequarry.functions.areas import component_boxes, union_area
 from framequarry.schemas import BOXES
 
 
@@ -50,27 +51,9 @@ def mask(h: pd.Series, w: pd.Series, boxes: pd.Series) -> pd.Series:
     return pd.Series([mask_of(int(y), int(x), b).tobytes() for y, x, b in zip(h, w, boxes)])
 
 
-@F.pandas_udf(T.LongType())
-def mask_area(h: pd.Series, w: pd.Series, boxes: pd.Series) -> pd.Series:
-    return pd.Series([int((mask_of(int(y), int(x), b) > 0).sum()) for y, x, b in zip(h, w, boxes)])
-
-
-def component_at(on: np.ndarray, y: int, x: int) -> np.ndarray:
-    """The 8-connected component of ``on`` that holds (y, x), by growing a frontier."""
-    out = np.zeros_like(on, bool)
-    if not on[y, x]:
-        return out
-    out[y, x] = True
-    while True:
-        p = np.pad(out, 1)
-        grown = np.zeros_like(out)
-        for dy in range(3):
-            for dx in range(3):
-                grown |= p[dy : dy + on.shape[0], dx : dx + on.shape[1]]
-        grown &= on
-        if (grown == out).all():
-            return out
-        out = grown
+def mask_area(h: Column, w: Column, boxes: Column) -> Column:
+    """Pixels of the mask, by the boxes' edges and without a raster."""
+    return union_area(h, w, boxes)
 
 
 def background(ring: np.ndarray, step: int = 16) -> np.ndarray:
@@ -98,8 +81,7 @@ def refine_box(img: np.ndarray, box: list[float], tol: float = 38, wide: float =
         if not len(inside):
             return box
         cy, cx = y0 + inside[0][0], x0 + inside[0][1]
-    ys, xs = np.where(component_at(near, cy, cx))
-    top, bottom, left, right = ys.min(), ys.max(), xs.min(), xs.max()
+    top, left, bottom, right = component_boxes(near[None], np.array([cy]), np.array([cx]))[0][0]
     if right - left >= 0.5 * w:
         left, right = 0, w - 1
     if (right - left) * (bottom - top) > most * w * h:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from framequarry import models
 from framequarry.functions import boxes, ids, images, retry, text
+from framequarry.functions.areas import component_boxes
 from framequarry.operators import dedup, frames, joins, ledger, route, shard
 from framequarry.scratch import Scratch, shared_dir
 from framequarry.sinks import writers
@@ -276,13 +277,12 @@ def color_mode(spark, d):
 def connected_component_bbox(spark, d):
     @F.pandas_udf("y0 int, x0 int, y1 int, x1 int, n long")
     def box(v: pd.Series) -> pd.DataFrame:
-        rows = []
-        for e in v:
-            ys, xs = np.where(images.component_at(np.asarray(e).reshape(8, 8) > 0, 4, 4))
-            rows.append((ys.min(), xs.min(), ys.max(), xs.max(), len(ys)) if len(ys) else (None,) * 5)
-        return pd.DataFrame(rows, columns=["y0", "x0", "y1", "x1", "n"]).astype({"y0": "Int32", "x0": "Int32", "y1": "Int32", "x1": "Int32", "n": "Int64"})
+        on = np.stack(v.to_numpy()).reshape(-1, 8, 8) > 0 if len(v) else np.zeros((0, 8, 8), bool)
+        four = np.full(len(on), 4)
+        found, n = component_boxes(on, four, four)
+        return pd.DataFrame(np.column_stack([found, n]), columns=["y0", "x0", "y1", "x1", "n"])
 
-    return read(spark, d, "embeddings").select("vec_id", box("embedding").alias("b")).where("b.n is not null").select("vec_id", "b.*")
+    return read(spark, d, "embeddings").select("vec_id", box("embedding").alias("b")).where("b.n > 0").select("vec_id", "b.*")
 
 
 @query("select user_id, count(*) filter (where event_type = 'click' and value >= 20) as person_count, coalesce(round_even(max(value) filter (where event_type = 'click' and value >= 20), 4), 0) as max_person_conf, cast(count(*) filter (where event_type = 'click' and value >= 20) = 0 as int) as kept from events group by user_id")

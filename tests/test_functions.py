@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from framequarry.functions import boxes, ids, images, retry, text
+from framequarry.functions.areas import component_boxes
 from framequarry.plans.overlay import normalise
 
 
@@ -97,7 +98,8 @@ def test_sharpness(spark):
 
 def test_components_and_masks():
     on = np.array([[1, 0, 0], [0, 1, 0], [0, 0, 0]], bool)
-    assert images.component_at(on, 0, 0).sum() == 2 and images.component_at(on, 2, 2).sum() == 0
+    box, n = component_boxes(np.stack([on, on]), np.array([0, 2]), np.array([0, 2]))
+    assert n.tolist() == [2, 0] and box[0].tolist() == [0, 0, 1, 1]
     m = images.mask_of(4, 4, [{"x0": 1, "y0": 1, "x1": 2, "y1": 9}, {"x0": 2, "y0": 0, "x1": 2, "y1": 1}])
     assert (m > 0).sum() == 7
 
