@@ -8,14 +8,15 @@ paths end there with their segments as they are; all others go on, however deep
 its whole path.
 
 Merging. Sibling leaves have one shape: their templates differ in the first literal segment only (``/es/*`` and ``/fr/*``).
-Labelled siblings that can't be told apart share a branch: the same half of the scale after smoothing, with z-wide
-bounds, or undecided. Unlabelled siblings are a branch that has nothing of its own.
+Labelled siblings in the order of their bad shares are cut in two where a likelihood ratio test between one rate and two
+rates is strongest, and form two branches if it passes ``SPLIT``, else one. Unlabelled siblings have nothing of their own.
 
-Verdict. A branch's purity is its labelled bad share, smoothed by ``M`` rows of its shape's, which in turn is smoothed by
-``M`` rows of its host's, and that by ``M`` rows of the bad share of all labelled pages, at most a half. So a branch without
-labels takes what its siblings of that shape show, and a shape without labels what its host shows; a host without labels
-is never rejected. A branch is rejected if its purity is at least ``REJECT``. Labels come with the input (``bad``: 1, 0 or
-null); the query labels pages by its rules, whose verdict stands.
+Verdict. A leaf's back-off adds up, in log-odds around the bad share of all labels, what the same template shows on other hosts
+and what its siblings show on its own: each leaf counts once by its share, and siblings weigh less the more they
+disagree, so that a host of good and bad branches says nothing about a new one. A branch's purity is its labelled bad
+share smoothed by ``M`` rows of the back-off, fewer the more siblings disagree with it; an unlabelled leaf's is the back-off
+itself. A leaf is rejected if its purity is at least ``REJECT``; on a host without labels none is. Labels come with the
+input (``bad``: 1, 0 or null); the query labels pages by its rules, whose verdict stands.
 
 A url counts once in the tree and in the purities, with the mean of the labels of its rows, so copies of pages don't add weight.
 The tree is built on distinct paths, every count is a partial aggregation, and joins back to pages deal out hot hosts and
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from framequarry.llm.common import Scratch, look_up, table
 
 MIN_CHILDREN, MAX_MEAN, DIGITS = 8, 4.0, 0.5
-M, REJECT, Z = 5.0, 0.8, 1.96
+M, REJECT, SPLIT = 5.0, 0.8, 6.63
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 RESULTS = ("host", "path", "rule", "template", "branch", "bad_share", "verdict")
 
@@ -81,24 +82,63 @@ def templates(paths: DataFrame, scratch: Scratch) -> DataFrame:
     return out
 
 
+def _entropy(b: Column, n: Column) -> Column:
+    """Log-likelihood of n labels of which b are bad at their own rate."""
+    term = lambda x: F.when(x > 0, x * F.log(x / n)).otherwise(0.0)
+    return term(b) + term(n - b)
+
+
+def _odds(p: Column) -> Column:
+    return F.log(p / (1 - p))
+
+
+def splits(labelled: DataFrame) -> DataFrame:
+    """host, shape and cut (percent; null: one branch), with the labels of the lower branch and of all. Shares are taken in percent, so a shape has at most 101 rows here."""
+    from pyspark.sql import Window
+
+    level = labelled.groupBy("host", "shape", "level").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b"))
+    up, all_ = Window.partitionBy("host", "shape").orderBy("level").rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy("host", "shape")
+    run = level.select("host", "shape", "level", F.sum("n").over(up).alias("n1"), F.sum("b").over(up).alias("b1"), F.sum("n").over(all_).alias("n0"), F.sum("b").over(all_).alias("b0"))
+    rest = F.col("n0") - F.col("n1")
+    gain = F.when(rest > 0, 2 * (_entropy(F.col("b1"), F.col("n1")) + _entropy(F.col("b0") - F.col("b1"), rest) - _entropy(F.col("b0"), F.col("n0")))).otherwise(0.0)
+    best = run.groupBy("host", "shape").agg(F.max(F.struct(F.round(gain, 6).alias("gain"), (-F.col("level")).alias("m"), "n1", "b1", "n0", "b0")).alias("x"))
+    return best.select("host", "shape", F.when(F.col("x.gain") >= SPLIT, -F.col("x.m")).alias("cut"), "x.n1", "x.b1", "x.n0", "x.b0")
+
+
 def judge_templates(urls: DataFrame, scratch: Scratch) -> DataFrame:
     """host, template, branch and bad_share of every leaf; ``urls`` has host, template and bad (share of 1, or null) of distinct urls."""
-    bad = F.coalesce(F.sum("bad"), F.lit(0.0))
-    leaves = urls.groupBy("host", "template").agg(F.count("bad").alias("labelled"), bad.alias("bad"))
+    leaves = urls.groupBy("host", "template").agg(F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0.0)).alias("bad"))
     leaves = scratch.write(leaves.withColumn("shape", F.regexp_replace("template", r"^((?:/\*)*)/[^/*]+", "$1/{}")))
-    total = leaves.agg(F.sum("labelled").alias("t"), F.sum("bad").alias("b"))
-    prior = F.least(F.lit(0.5), F.coalesce(F.try_divide("b", "t"), F.lit(0.0)))
-    hosts = leaves.groupBy("host").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b")).crossJoin(F.broadcast(total.select(prior.alias("prior"))))  # one row
-    hosts = hosts.select("host", ((F.col("b") + M * F.col("prior")) / (F.col("n") + M)).alias("of_host"))
-    shapes = leaves.groupBy("host", "shape").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b")).join(hosts, "host")
-    shapes = shapes.select("host", "shape", ((F.col("b") + M * F.col("of_host")) / (F.col("n") + M)).alias("of_shape"))
-    leaves = leaves.join(shapes, ["host", "shape"])
-    share = (F.col("bad") + M * F.col("of_shape")) / (F.col("labelled") + M)
-    wide = Z * F.sqrt(share * (1 - share) / (F.col("labelled") + M))
-    kind = F.when(F.col("labelled") == 0, "none").when(share - wide > 0.5, "bad").when(share + wide < 0.5, "good").otherwise("mixed")
-    leaves = leaves.withColumn("branch", F.concat_ws(" ", "shape", kind))
-    branches = leaves.groupBy("host", "branch").agg(((F.sum("bad") + M * F.first("of_shape")) / (F.sum("labelled") + M)).alias("bad_share"))
-    return leaves.select("host", "template", "branch").join(branches, ["host", "branch"])
+    total = leaves.agg(F.sum("labelled"), F.sum("bad")).first()
+    prior = min(0.5, ((total[1] or 0) + 1) / ((total[0] or 0) + 2))
+    leaves = leaves.withColumns({"own": (F.col("labelled") > 0).cast("int"), "level": F.round(100 * F.try_divide("bad", "labelled")).cast("int"), "s": F.when(F.col("labelled") > 0, (F.col("bad") + 0.5 * prior) / (F.col("labelled") + 0.5)).otherwise(0.0)})
+    labelled = leaves.where("own = 1")
+    sums = lambda x: [F.count("*").alias(f"k_{x}"), F.sum("s").alias(f"s_{x}")]
+    of_template, of_host = labelled.groupBy("template").agg(*sums("t")), labelled.groupBy("host").agg(*sums("h"))
+    of_shape = labelled.groupBy("host", "shape").agg(*sums("g"), F.count_if(F.col("s") >= 0.5).alias("up")).join(splits(labelled), ["host", "shape"])
+    leaves = look_up(leaves, of_template, ["template"], F.col("host"), "left")
+    leaves = look_up(look_up(leaves, of_host, ["host"], F.col("template"), "left"), of_shape, ["host", "shape"], F.col("template"), "left")
+
+    def others(x: str) -> tuple[Column, Column, Column]:
+        """Number of other leaves, sum of their shares, and how far they agree: 1 if all are good or all bad, 0 if half of them are."""
+        k, s = F.coalesce(f"k_{x}", F.lit(0)) - F.col("own"), F.coalesce(f"s_{x}", F.lit(0.0)) - F.col("own") * F.col("s")
+        return k, s, F.when(k > 0, F.abs(2 * s / k - 1)).otherwise(0.0)
+
+    k, s, _ = others("t")
+    elsewhere = (s + prior) / (k + 1)
+    k, s, agree = others("h")
+    on_host = (agree * s + prior) / (agree * k + 1)
+    k, s, agree = others("g")
+    beside = (agree * s + on_host) / (agree * k + 1)
+    back = 1 / (1 + F.exp(-(_odds(elsewhere) + _odds(beside) - _odds(F.lit(prior)))))
+    same = F.when(F.col("s") >= 0.5, F.col("up")).otherwise(F.col("k_g") - F.col("up")) - 1
+    m = M * (1 + same) / (1 + k)
+    low = F.col("level") <= F.col("cut")
+    n = F.when(F.col("cut").isNull(), F.col("n0")).when(low, F.col("n1")).otherwise(F.col("n0") - F.col("n1"))
+    b = F.when(F.col("cut").isNull(), F.col("b0")).when(low, F.col("b1")).otherwise(F.col("b0") - F.col("b1"))
+    kind = F.when(F.col("own") == 0, "none").when(F.col("cut").isNull(), "all").when(low, "low").otherwise("high")
+    share = F.when(F.col("own") == 1, (b + m * back) / (n + m)).when(F.col("k_h").isNull(), F.least(back, F.lit(0.5))).otherwise(back)
+    return leaves.select("host", "template", F.concat_ws(" ", "shape", kind).alias("branch"), share.alias("bad_share"))
 
 
 def filter_urls(df: DataFrame, rules: list[tuple[str, str]], url: str = "url") -> DataFrame:
@@ -122,4 +162,4 @@ def filter_urls(df: DataFrame, rules: list[tuple[str, str]], url: str = "url") -
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return filter_urls(pages, RULES).select("page_id", "host", "path", "rule", "verdict", "template", "branch", "bad_share")
+    return filter_urls(pages, RULES).select("page_id", "host", "path", "rule", "verdict", "template", "branch", F.round("bad_share", 6).alias("bad_share"))
