@@ -15,7 +15,6 @@ def url_filter_sql() -> str:
         test = f"(host = '{name}' or suffix(host, '.{name}')) and starts_with(path, '/{rest}')"
         fits, verdicts = f"case when {test} then '{rule}' else {fits} end", f"case when {test} then '{verdict}' else {verdicts} end"
     ll = lambda b, n: f"(case when {b} > 0 then {b} * ln({b} / {n}) else 0 end + case when {n} - ({b}) > 0 then ({n} - ({b})) * ln(({n} - ({b})) / {n}) else 0 end)"
-    odds = lambda p: f"ln(({p}) / (1 - ({p})))"
     variable = f"kinds >= {MIN_CHILDREN} and (n <= {MAX_MEAN} * kinds or digits >= {DIGITS} * kinds)"
     parts = [
         "r as (select page_id, url, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest from pages)",
@@ -25,7 +24,7 @@ def url_filter_sql() -> str:
         f" select host, path, segs, d + 1, tpl || '/' || case when {variable} then '*' else segs[d + 1] end from"
         " (select *, count(*) over w as n, count(distinct segs[d + 1]) over w as kinds, count(distinct case when regexp_matches(segs[d + 1], '[0-9]') then segs[d + 1] end) over w as digits"
         " from t where len(segs) > d window w as (partition by host, tpl)))",
-        "leaf as (select host, path, tpl from t where len(segs) = d)",
+        "leaf as (select host, path, tpl as template, regexp_replace(tpl, '/[^/]*[0-9][^/]*', '/*', 'g') as tpl from t where len(segs) = d)",
         "u as (select host, path, url, avg(case when rule is not null then cast(rv = 'block' as int) end) as bad from p group by all)",
         r"g as (select host, tpl, regexp_replace(tpl, '^((?:/\*)*)/[^/*]+', '\1/{}') as shape, count(bad) as labelled, coalesce(sum(bad), 0) as bad from u join leaf using (host, path) group by all)",
         "pr as (select least(0.5, (coalesce(sum(bad), 0) + 1) / (coalesce(sum(labelled), 0) + 2)) as prior from g)",
@@ -35,17 +34,17 @@ def url_filter_sql() -> str:
         "lg as (select host, shape, count(*) as k_g, sum(s) as s_g, count(*) filter (where s >= 0.5) as up from l0 where own = 1 group by all)",
         "lv as (select host, shape, level, sum(labelled) as n, sum(bad) as b from l0 where own = 1 group by all)",
         "rn as (select host, shape, level, sum(n) over u as n1, sum(b) over u as b1, sum(n) over (partition by host, shape) as n0, sum(b) over (partition by host, shape) as b0 from lv window u as (partition by host, shape order by level))",
-        f"gn as (select *, case when n0 > n1 then round(2 * ({ll('b1', 'n1')} + {ll('b0 - b1', '(n0 - n1)')} - {ll('b0', 'n0')}), 6) else 0 end as gain from rn)",
+        f"gn as (select *, case when n0 > n1 then round(2 * ({ll('b1', 'n1')} + {ll('(b0 - b1)', '(n0 - n1)')} - {ll('b0', 'n0')}), 6) else 0 end as gain from rn)",
         f"sp as (select host, shape, case when gain >= {SPLIT} then level end as cut, n1, b1, n0, b0 from (select *, row_number() over (partition by host, shape order by gain desc, level) as place from gn) where place = 1)",
         "x0 as (select l0.*, coalesce(k_t, 0) - own as kt, coalesce(s_t, 0) - own * s as st, k_h, coalesce(k_h, 0) - own as kh, coalesce(s_h, 0) - own * s as sh, k_g, coalesce(k_g, 0) - own as kg, coalesce(s_g, 0) - own * s as sg, up, cut, n1, b1, n0, b0"
         " from l0 left join lt on tpl = template left join lh using (host) left join lg using (host, shape) left join sp using (host, shape))",
-        "x1 as (select *, case when kh > 0 then abs(2 * sh / kh - 1) else 0 end as ah, case when kg > 0 then abs(2 * sg / kg - 1) else 0 end as ag from x0)",
-        "x2 as (select *, (st + prior) / (kt + 1) as elsewhere, (ag * sg + (ah * sh + prior) / (ah * kh + 1)) / (ag * kg + 1) as beside from x1)",
-        f"x3 as (select *, 1 / (1 + exp(-({odds('elsewhere')} + {odds('beside')} - {odds('prior')}))) as back, {M} * (case when s >= 0.5 then up else k_g - up end) / (1 + kg) as m from x2)",
+        "x1 as (select *, case when kh > 0 then pow(abs(2 * sh / kh - 1), 3) else 0 end as ah, case when kg > 0 then pow(abs(2 * sg / kg - 1), 3) else 0 end as ag, case when kt > 0 then pow(abs(2 * st / kt - 1), 3) else 0 end as at_ from x0)",
+        "x2 as (select *, (ag * sg + (ah * sh + prior) / (ah * kh + 1)) / (ag * kg + 1) as beside from x1)",
+        f"x3 as (select *, (at_ * st + beside) / (at_ * kt + 1) as back, {M} * (case when s >= 0.5 then up else k_g - up end) / (1 + kg) as m from x2)",
         "b as (select host, tpl, shape || ' ' || case when own = 0 then 'none' when cut is null then 'all' when level <= cut then 'low' else 'high' end as branch, case when own = 1"
         " then (case when cut is null then b0 when level <= cut then b1 else b0 - b1 end + m * back) / (case when cut is null then n0 when level <= cut then n1 else n0 - n1 end + m) when k_h is null then least(back, 0.5) else back end as bad_share from x3)",
     ]
-    return f"with recursive {', '.join(parts)} select page_id, p.host, p.path, rule, coalesce(rv, case when bad_share >= {REJECT} then 'block' else 'allow' end) as verdict, l.tpl as template, b.branch, round(bad_share, 6) as bad_share from p join leaf l on p.host = l.host and p.path = l.path join b on l.host = b.host and l.tpl = b.tpl"
+    return f"with recursive {', '.join(parts)} select page_id, p.host, p.path, rule, coalesce(rv, case when bad_share >= {REJECT} then 'block' else 'allow' end) as verdict, l.template, b.branch, round(bad_share, 6) as bad_share from p join leaf l on p.host = l.host and p.path = l.path join b on l.host = b.host and l.tpl = b.tpl"
 
 
 JACCARD_SQL = rf"""

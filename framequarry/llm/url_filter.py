@@ -7,13 +7,13 @@ that. A node with fewer than ``MIN_CHILDREN`` distinct paths below can't have a
 paths end there with their segments as they are; all others go on, however deep they are. A page's leaf is the template of
 its whole path.
 
-Merging. Sibling leaves have one shape: their templates differ in the first literal segment only (``/es/*`` and ``/fr/*``).
+Merging. Templates that differ only in segments with digits, as nodes of few pages leave them, are one leaf. Sibling leaves have one shape: they differ in the first literal segment only (``/es/*`` and ``/fr/*``).
 Labelled siblings in the order of their bad shares are cut in two where a likelihood ratio test between one rate and two
 rates is strongest, and form two branches if it passes ``SPLIT``, else one. Unlabelled siblings have nothing of their own.
 
-Verdict. A leaf's back-off adds up, in log-odds around the bad share of all labels, what the same template shows on other hosts
-and what its siblings show on its own: each leaf counts once by its share, and siblings weigh less the more they
-disagree, so that a host of good and bad branches says nothing about a new one. A branch's purity is its labelled bad
+Verdict. A leaf's back-off starts at the bad share of all labels and is drawn, one after the other, to the leaves of its host, to its
+siblings there and to the same leaf on other hosts. Each leaf counts once, by its share, and less the more those of its
+kind disagree, so that a host of good and bad branches says nothing about a new one. A branch's purity is its labelled bad
 share smoothed by ``M`` rows of the back-off, fewer the more siblings disagree with it; an unlabelled leaf's is the back-off
 itself. A leaf is rejected if its purity is at least ``REJECT``; on a host without labels none is. Labels come with the
 input (``bad``: 1, 0 or null); the query labels pages by its rules, whose verdict stands.
@@ -88,10 +88,6 @@ def _entropy(b: Column, n: Column) -> Column:
     return term(b) + term(n - b)
 
 
-def _odds(p: Column) -> Column:
-    return F.log(p / (1 - p))
-
-
 def splits(labelled: DataFrame) -> DataFrame:
     """host, shape and cut (percent; null: one branch), with the labels of the lower branch and of all. Shares are taken in percent, so a shape has at most 101 rows here."""
     from pyspark.sql import Window
@@ -106,39 +102,36 @@ def splits(labelled: DataFrame) -> DataFrame:
 
 
 def judge_templates(urls: DataFrame, scratch: Scratch) -> DataFrame:
-    """host, template, branch and bad_share of every leaf; ``urls`` has host, template and bad (share of 1, or null) of distinct urls."""
-    leaves = urls.groupBy("host", "template").agg(F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0.0)).alias("bad"))
-    leaves = scratch.write(leaves.withColumn("shape", F.regexp_replace("template", r"^((?:/\*)*)/[^/*]+", "$1/{}")))
+    """host, leaf, branch and bad_share of every leaf; ``urls`` has host, leaf and bad (share of 1, or null) of distinct urls."""
+    leaves = urls.groupBy("host", "leaf").agg(F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0.0)).alias("bad"))
+    leaves = scratch.write(leaves.withColumn("shape", F.regexp_replace("leaf", r"^((?:/\*)*)/[^/*]+", "$1/{}")))
     total = leaves.agg(F.sum("labelled"), F.sum("bad")).first()
     prior = min(0.5, ((total[1] or 0) + 1) / ((total[0] or 0) + 2))
     leaves = leaves.withColumns({"own": (F.col("labelled") > 0).cast("int"), "level": F.round(100 * F.try_divide("bad", "labelled")).cast("int"), "s": F.when(F.col("labelled") > 0, (F.col("bad") + 0.5 * prior) / (F.col("labelled") + 0.5)).otherwise(0.0)})
     labelled = leaves.where("own = 1")
     sums = lambda x: [F.count("*").alias(f"k_{x}"), F.sum("s").alias(f"s_{x}")]
-    of_template, of_host = labelled.groupBy("template").agg(*sums("t")), labelled.groupBy("host").agg(*sums("h"))
+    of_template, of_host = labelled.groupBy("leaf").agg(*sums("t")), labelled.groupBy("host").agg(*sums("h"))
     of_shape = labelled.groupBy("host", "shape").agg(*sums("g"), F.count_if(F.col("s") >= 0.5).alias("up")).join(splits(labelled), ["host", "shape"])
-    leaves = look_up(leaves, of_template, ["template"], F.col("host"), "left")
-    leaves = look_up(look_up(leaves, of_host, ["host"], F.col("template"), "left"), of_shape, ["host", "shape"], F.col("template"), "left")
+    leaves = look_up(leaves, of_template, ["leaf"], F.col("host"), "left")
+    leaves = look_up(look_up(leaves, of_host, ["host"], F.col("leaf"), "left"), of_shape, ["host", "shape"], F.col("leaf"), "left")
 
     def others(x: str) -> tuple[Column, Column, Column]:
-        """Number of other leaves, sum of their shares, and how far they agree: 1 if all are good or all bad, 0 if half of them are."""
+        """Number of other leaves, sum of their shares, and how far they agree: 1 if all are good or all bad, next to 0 if about half of them are."""
         k, s = F.coalesce(f"k_{x}", F.lit(0)) - F.col("own"), F.coalesce(f"s_{x}", F.lit(0.0)) - F.col("own") * F.col("s")
-        return k, s, F.when(k > 0, F.abs(2 * s / k - 1)).otherwise(0.0)
-
-    k, s, _ = others("t")
-    elsewhere = (s + prior) / (k + 1)
-    k, s, agree = others("h")
-    on_host = (agree * s + prior) / (agree * k + 1)
-    k, s, agree = others("g")
-    beside = (agree * s + on_host) / (agree * k + 1)
-    back = 1 / (1 + F.exp(-(_odds(elsewhere) + _odds(beside) - _odds(F.lit(prior)))))
+        return k, s, F.when(k > 0, F.pow(F.abs(2 * s / k - 1), F.lit(3))).otherwise(0.0)
+
+    back, beside = F.lit(prior), None
+    for x in ("h", "g", "t"):
+        k, s, agree = others(x)
+        back, beside = (agree * s + back) / (agree * k + 1), (k if x == "g" else beside)
     same = F.when(F.col("s") >= 0.5, F.col("up")).otherwise(F.col("k_g") - F.col("up")) - 1
-    m = M * (1 + same) / (1 + k)
+    m = M * (1 + same) / (1 + beside)
     low = F.col("level") <= F.col("cut")
     n = F.when(F.col("cut").isNull(), F.col("n0")).when(low, F.col("n1")).otherwise(F.col("n0") - F.col("n1"))
     b = F.when(F.col("cut").isNull(), F.col("b0")).when(low, F.col("b1")).otherwise(F.col("b0") - F.col("b1"))
     kind = F.when(F.col("own") == 0, "none").when(F.col("cut").isNull(), "all").when(low, "low").otherwise("high")
     share = F.when(F.col("own") == 1, (b + m * back) / (n + m)).when(F.col("k_h").isNull(), F.least(back, F.lit(0.5))).otherwise(back)
-    return leaves.select("host", "template", F.concat_ws(" ", "shape", kind).alias("branch"), share.alias("bad_share"))
+    return leaves.select("host", "leaf", F.concat_ws(" ", "shape", kind).alias("branch"), share.alias("bad_share"))
 
 
 def filter_urls(df: DataFrame, rules: list[tuple[str, str]], url: str = "url") -> DataFrame:
@@ -152,9 +145,10 @@ def filter_urls(df: DataFrame, rules: list[tuple[str, str]], url: str = "url") -
     bad = F.when(F.col("fq_rule").isNotNull(), (F.col("fq_rule.verdict") == "block").cast("int"))
     urls = pages.groupBy("host", "path", "fq_url").agg(F.avg(F.col("bad") if own_labels else bad).alias("bad"))
     urls = scratch.write(urls.select("host", "path", "bad", F.xxhash64("fq_url").alias("url_hash")))
-    leaf_of = scratch.write(templates(urls.select("host", "path").distinct(), scratch))
-    judged = judge_templates(look_up(urls, leaf_of, ["host", "path"], F.col("url_hash")).select("host", "template", "bad"), scratch)
-    by_path = look_up(leaf_of, judged, ["host", "template"], F.col("path"))
+    leaf_of = templates(urls.select("host", "path").distinct(), scratch)
+    leaf_of = scratch.write(leaf_of.withColumn("leaf", F.regexp_replace("template", "/[^/]*[0-9][^/]*", "/*")))
+    judged = judge_templates(look_up(urls, leaf_of, ["host", "path"], F.col("url_hash")).select("host", "leaf", "bad"), scratch)
+    by_path = look_up(leaf_of, judged, ["host", "leaf"], F.col("path")).drop("leaf")
     verdict = F.coalesce(F.col("fq_rule.verdict"), F.when(F.col("bad_share") >= REJECT, "block").otherwise("allow"))
     out = look_up(pages, by_path, ["host", "path"], F.col("fq_url")).withColumns({"rule": F.col("fq_rule.rule"), "verdict": verdict})
     return out.drop("fq_rule", "fq_url")
