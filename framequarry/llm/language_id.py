@@ -6,8 +6,9 @@ sample; the feature map is phi(x) = k(x, Z) K_ZZ^(-1/2) (any root, here of the C
 batch is scored as presence matrix times landmark matrix times coefficients; the last two are multiplied once, which
 leaves one row of coefficients per landmark n-gram. Scores are a softmax of the outputs with a fitted slope.
 
-The fit uses a bounded sample: ``PER_LANG`` rows of each language, up to ``FIT_CHARS`` characters in all, texts of more than ``USUAL`` last. Every row is scored
-on its whole text. A null text, or one without letters, is ``und`` with score 0; without any labelled row all are ``und``.
+The fit uses a sample that is bounded in all, however many languages there are: the ``MAX_LANGS`` most frequent ones are learned, with ``PER_LANG`` rows
+and ``FIT_CHARS`` characters of each, or the same share of ``ALL_ROWS`` and ``ALL_CHARS`` where that is less, texts of more than ``USUAL`` last; ``LANDMARKS`` of
+these rows are landmarks. Every row is scored on its whole text. A null text, or one without letters, is ``und`` with score 0; without any labelled row all are ``und``.
 Repeated and equal rows get equal predictions; of languages that tie the first by name is taken; an empty table gives an
 empty result; existing columns ``lang_pred`` and ``score`` are replaced, others are kept.
 """
@@ -27,6 +28,7 @@ from framequarry.llm.textnum import mix
 ORDERS = (1, 2, 3)
 PER_LANG, LANDMARKS, RIDGE = 400, 160, 1e-3
 USUAL, FIT_CHARS = 20_000, 8_000_000
+MAX_LANGS, ALL_ROWS, ALL_CHARS = 256, 20_000, 32_000_000
 _BITS = 40
 _LOW = np.uint64((1 << _BITS) - 1)
 
@@ -58,7 +60,7 @@ class KernelModel:
         y = np.where(np.array(langs)[:, None] == np.array(self.langs)[None, :], 1.0, -1.0)
         order = np.argsort([self.langs.index(x) for x in langs], kind="stable")
         per = max(1, LANDMARKS // len(self.langs))
-        at = np.concatenate([order[np.array(langs)[order] == x][:per] for x in self.langs])
+        at = np.concatenate([order[np.array(langs)[order] == x][:per] for x in self.langs])[:LANDMARKS]
         value, row = grams([texts[i] for i in at])
         self.vocab = np.unique(value)
         marks = np.zeros((len(at), len(self.vocab)), np.float32)
@@ -117,11 +119,15 @@ class KernelModel:
 
 
 def fit_language_model(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> KernelModel | None:
-    """Fits on at most PER_LANG rows of each language of ``labelled`` with letters, and FIT_CHARS characters of each."""
+    """Fits on rows of ``labelled`` with letters, within the bounds above; of languages that are equally frequent the first by name are taken."""
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}") & (F.length(text) <= FIT_CHARS))
+    found = labelled.where(F.col(lang).isNotNull()).groupBy(lang).agg(F.count("*").alias("n")).orderBy(F.desc("n"), lang).limit(MAX_LANGS + 1).collect()
+    if len(found) > MAX_LANGS:
+        rows = rows.where(F.col(lang).isin([r[lang] for r in found[:MAX_LANGS]]))
+    many = max(1, min(len(found), MAX_LANGS))
     order = F.xxhash64(key, text)
-    sample = spread_sample(rows.select(key, text, lang), F.col(lang), PER_LANG, order)
-    picked = up_to(sample, F.col(lang), text, order, USUAL, FIT_CHARS).orderBy(lang, order).collect()
+    sample = spread_sample(rows.select(key, text, lang), F.col(lang), min(PER_LANG, ALL_ROWS // many), order)
+    picked = up_to(sample, F.col(lang), text, order, USUAL, min(FIT_CHARS, ALL_CHARS // many)).orderBy(lang, order).collect()
     return KernelModel([r[text] for r in picked], [r[lang] for r in picked]) if picked else None
 
 

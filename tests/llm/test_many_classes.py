@@ -26,3 +26,13 @@ def test_language_sample_takes_a_dirty_column(spark, docs):
     rows = [(i, f"word{i} text", f"x-{i}") for i in range(2100)]
     picked = spread_sample(docs(rows), F.col("lang"), language_id.PER_LANG, F.xxhash64("doc_id", "text"))
     assert picked.count() == 2100
+
+
+def test_a_fit_on_three_thousand_languages_is_bounded_in_all(spark):
+    """A column of 3,000 values: the most frequent ones are learned, from a bounded number of rows and landmarks."""
+    rows = [(i, f"some text number {i} of a long list", f"x-{i % 3000:04d}" if i >= 600 else f"y-{i % 40:02d}") for i in range(6600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit_language_model(df)
+    assert len(model.langs) == language_id.MAX_LANGS and {f"y-{i:02d}" for i in range(40)} <= set(model.langs)
+    assert model.weights.shape[1] == language_id.MAX_LANGS and model.weights.shape[0] < 20 * language_id.LANDMARKS
+    assert language_id.fit_language_model(df.limit(0)) is None
