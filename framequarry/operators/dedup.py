@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,9 +25,15 @@ def last_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return _pick(df, keys, order, F.max)
 
 
+def digest(text: Column) -> Column:
+    """SHA-256 of a text as 32 bytes, null for null: what texts are compared and joined by in place of themselves."""
+    return F.unhex(F.sha2(text, 256))
+
+
 def first_seen(df: DataFrame, value: str, order: str) -> DataFrame:
-    """Distinct values with the ordinal at which each is first seen."""
-    return df.groupBy(value).agg(F.min(order).alias("first_seen"), F.count("*").alias("n"))
+    """Distinct texts with the ordinal at which each is first seen. The key is a digest; of each text one copy a task moves along."""
+    seen = df.groupBy(digest(F.col(value)).alias("fq_d")).agg(F.min(order).alias("first_seen"), F.count("*").alias("n"), F.first(value).alias(value))
+    return seen.select(value, "first_seen", "n")
 
 
 def flatten(files: DataFrame, folder: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framequarry.functions.text import strip
-from framequarry.operators.dedup import last_wins
+from framequarry.operators.dedup import digest, last_wins
 
 
 def todo(df: DataFrame, done: DataFrame, key: str, retry_errors: bool = True) -> DataFrame:
@@ -31,13 +31,13 @@ def existing(df: DataFrame, files: DataFrame, name: str = "image_filename") -> D
 def apply_cleans(df: DataFrame, flags: DataFrame, cleans: DataFrame, text: str = "caption") -> DataFrame:
     """``text`` replaced on every row with a flagged text that has a non-empty rewrite, dropped rows included.
 
-    ``flags`` and ``cleans`` hold one row for each text. Both are joined at once, so a rewrite is never rewritten (H15).
+    ``flags`` and ``cleans`` hold one row for each text, named by ``text`` or by its ``digest``. Both are joined at once, so a rewrite is never
+    rewritten (H15), and on digests of 32 bytes, so of flags and rewrites no text moves and of ``df`` each text once.
     """
-    f = flags.select(F.col(text).alias("fq_f"), "flag")
-    c = cleans.select(F.col(text).alias("fq_c"), "clean")
-    joined = df.join(f, F.col(text) == F.col("fq_f"), "left").join(c, F.col(text) == F.col("fq_c"), "left")
-    new = F.when((F.col("flag") == 1) & (F.coalesce("clean", F.lit("")) != ""), F.col("clean")).otherwise(F.col(text))
-    return joined.withColumn(text, new).select(*df.columns)
+    of = lambda side: F.col("digest") if "digest" in side.columns else digest(F.col(text))
+    f = flags.select(of(flags).alias("fq_f"), "flag").where("flag = 1").join(cleans.select(of(cleans).alias("fq_f"), "clean").where("clean <> ''"), "fq_f")
+    joined = df.withColumn("fq_d", digest(F.col(text))).join(f, F.col("fq_d") == F.col("fq_f"), "left")
+    return joined.withColumn(text, F.coalesce("clean", text)).select(*df.columns)
 
 
 def merge_descriptions(meta: DataFrame, descriptions: DataFrame, key: str = "image_id", order: str = "ord") -> DataFrame:

@@ -161,9 +161,11 @@ _FLAGS = "f as (select text, max(1 - quality) as flag from documents join labels
 
 
 def flags_and_cleans(spark, d):
-    f = read(spark, d, "documents").join(read(spark, d, "labels"), "doc_id").groupBy("text").agg(F.max(1 - F.col("quality")).alias("flag"))
-    c = f.where("flag = 1 and length(text) % 5 > 0").select("text", F.concat(F.lit("clean "), F.md5(F.col("text").cast("binary"))).alias("clean"))
-    return f, c
+    """Flags and rewrites by the digests of their texts."""
+    text = F.col("text")
+    known = read(spark, d, "documents").where("text is not null").select("doc_id", dedup.digest(text).alias("digest"), F.md5(text.cast("binary")).alias("md5"), F.length("text").alias("n"))
+    f = known.join(read(spark, d, "labels"), "doc_id").groupBy("digest", "md5", "n").agg(F.max(1 - F.col("quality")).alias("flag"))
+    return f.select("digest", "flag"), f.where("flag = 1 and n % 5 > 0").select("digest", F.concat(F.lit("clean "), "md5").alias("clean"))
 
 
 @query(f"with {_FLAGS} select doc_id, md5(case when flag = 1 and coalesce(clean, '') <> '' then clean else d.text end) as text_md5 from documents d left join f on d.text = f.text left join c on d.text = c.text")
@@ -176,11 +178,11 @@ def clean_apply(spark, d):
   (select count(*) from u join f using (text)) as flagged_before, (select count(*) from u anti join f using (text)) as to_classify, (select count(*) from f anti join c using (text) where flag = 1) as to_rewrite""")
 def cascade_counts(spark, d):
     f, c = flags_and_cleans(spark, d)
-    texts = read(spark, d, "documents").select("text").distinct()
-    u = texts.where(F.col("text").rlike(f"(?i){KEYWORDS}"))
+    texts = read(spark, d, "documents").where("text is not null").select(dedup.digest(F.col("text")).alias("digest"), F.col("text").rlike(f"(?i){KEYWORDS}").alias("hit")).groupBy("digest").agg(F.max("hit").alias("hit"))
+    u = texts.where("hit")
     one = lambda df, n: df.agg(F.count("*").alias(n))
     out = one(texts, "distinct_texts")
-    for df, n in ((u, "prefiltered"), (u.join(f, "text", "left_semi"), "flagged_before"), (u.join(f, "text", "left_anti"), "to_classify"), (f.where("flag = 1").join(c, "text", "left_anti"), "to_rewrite")):
+    for df, n in ((u, "prefiltered"), (u.join(f, "digest", "left_semi"), "flagged_before"), (u.join(f, "digest", "left_anti"), "to_classify"), (f.where("flag = 1").join(c, "digest", "left_anti"), "to_rewrite")):
         out = out.join(one(df, n))  # one row each
     return out
 

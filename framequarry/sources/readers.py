@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from framequarry import schemas
 from framequarry.functions import ids
+from framequarry.functions.text import strip
 from framequarry.operators.dedup import keep_first, last_wins
 
 
@@ -34,9 +35,10 @@ def url_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def playlist(spark: SparkSession, path: str) -> DataFrame:
-    """The playlist dimension; of a repeated id the later row counts, and a missing address is made from the id."""
+    """The playlist dimension, texts stripped; of a repeated id the later row counts, and a missing address is made from the id."""
     raw = spark.read.csv(path, sep="\t", header=True, schema=schemas.PLAYLIST, quote="").withColumn("ord", file_order())
-    return last_wins(raw.where("id is not null"), ["id"], ["ord"]).drop("ord").withColumn("url", ids.default_url(F.col("url"), F.col("id")))
+    raw = raw.withColumns({c: strip(F.col(c)) for c in ("id", "title", "url")}).withColumn("url", F.nullif("url", F.lit("")))
+    return last_wins(raw.where("id <> ''"), ["id"], ["ord"]).drop("ord").withColumn("url", ids.default_url(F.col("url"), F.col("id")))
 
 
 def ledger(spark: SparkSession, path: str) -> DataFrame:

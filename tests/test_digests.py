@@ -1,0 +1,45 @@
+"""Texts are compared by digests: no plan shuffles on a text; and the playlist's values are stripped."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from framequarry.operators import dedup, joins
+from framequarry.sources import readers
+
+
+def keys(df):
+    """What the plan's exchanges deal rows out by."""
+    return re.findall(r"hashpartitioning\(([^)]*)\)", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_clean_application_by_digest(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, None), (5, "c"), (6, "A")], "i int, caption string")
+    flags = spark.createDataFrame([("a", 1), ("b", 1), ("c", 0), ("A", 1)], "caption string, flag int")
+    cleans = spark.createDataFrame([("a", "A"), ("b", ""), ("c", "x"), ("A", "again")], "caption string, clean string")
+    out = joins.apply_cleans(df, flags, cleans)
+    assert out.columns == ["i", "caption"] and sorted((r.i, r.caption) for r in out.collect()) == [(1, "A"), (2, "b"), (3, "A"), (4, None), (5, "c"), (6, "again")]
+    by = dedup.digest(F.col("caption")).alias("digest")
+    again = joins.apply_cleans(df, flags.select(by, "flag"), cleans.select(by, "clean"))
+    assert sorted(map(tuple, again.collect()), key=str) == sorted(map(tuple, out.collect()), key=str)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = keys(joins.apply_cleans(df, flags, cleans))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found and not any("caption" in k for k in found)
+
+
+def test_first_seen_by_digest(spark):
+    df = spark.createDataFrame([("x", 3), ("y", 1), ("x", 2), (None, 9), (None, 7), ("", 5)], "t string, o int")
+    out = dedup.first_seen(df, "t", "o")
+    assert sorted(((r.t, r.first_seen, r.n) for r in out.collect()), key=str) == sorted([("x", 2, 2), ("y", 1, 1), (None, 7, 2), ("", 5, 1)], key=str)
+    assert not any(k.startswith("t#") for k in keys(out))
+
+
+@pytest.mark.parametrize("blank", [" ", "\u00a0", "  "])
+def test_playlist_values_are_stripped(spark, tmp_path, blank):
+    (tmp_path / "p.tsv").write_text(f"id\tduration_seconds\ttitle\turl\n{blank}abc{blank}\t5\t{blank}T{blank}\t\nabc\t6\tU{blank}\t{blank}u{blank}\n{blank}\t1\tx\ty\nd{blank}\t2\t\t{blank}\n")
+    got = {r.id: (r.title, r.duration_seconds, r.url) for r in readers.playlist(spark, str(tmp_path / "p.tsv")).collect()}
+    assert got["abc"] == ("U", 6, "u") and set(got) == {"abc", "d"} and got["d"][2].endswith("=d")
