@@ -30,10 +30,11 @@ LOWER[65:91] += 32
 def mix(h: np.ndarray) -> np.ndarray:
     """Splitmix-style finaliser on uint64."""
     h = h ^ (h >> np.uint64(30))
-    h = h * np.uint64(0xBF58476D1CE4E5B9)
-    h = h ^ (h >> np.uint64(27))
-    h = h * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(27)
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    return h
 
 
 def buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -86,20 +87,23 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: int
     by hash alone takes a random one.
     """
     size = ends - starts
-    pieces = np.maximum((size + 7) >> 3, 1)
-    first = np.cumsum(pieces) - pieces
+    salt, step = mix(np.array([key & _MASK, key + _STEP & _MASK], np.uint64))
     eight = np.ndarray((len(data) + 1,), "<u8", buffer=np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
-    if len(size) and pieces.max() > 1:
-        k = np.arange(int(pieces.sum())) - np.repeat(first, pieces)
-        at, left = np.repeat(starts, pieces) + 8 * k, np.repeat(size, pieces) - 8 * k
-    else:
-        k, at, left = np.zeros(len(size), np.int64), starts, size
-    salt = mix(np.array([key & _MASK], np.uint64))
-    v = mix((eight[at] & _BYTES[np.minimum(left, 8)]) + salt)
-    v = mix(v ^ (k.astype(np.uint64) * np.uint64(_STEP) + salt))
-    if len(v) > len(size):
-        v = np.add.reduceat(v, first)
-    return mix(v + size.astype(np.uint64) * np.uint64(_MUL))
+    v = eight[starts]
+    v &= _BYTES[np.minimum(size, 8)]
+    v += salt
+    v = mix(v)
+    long = np.flatnonzero(size > 8)
+    if len(long):
+        pieces = (size[long] - 1) >> 3  # after the first one
+        first = np.cumsum(pieces) - pieces
+        k = np.arange(1, int(pieces.sum()) + 1) - np.repeat(first, pieces)
+        w = eight[np.repeat(starts[long], pieces) + 8 * k]
+        w &= _BYTES[np.minimum(np.repeat(size[long], pieces) - 8 * k, 8)]
+        w += k.astype(np.uint64) * step + salt
+        v[long] += np.add.reduceat(mix(w), first)
+    v += size.astype(np.uint64) * np.uint64(_MUL)
+    return mix(v)
 
 
 def shingles(h: np.ndarray, row: np.ndarray, n_rows: int, k: int) -> tuple[np.ndarray, np.ndarray]:
