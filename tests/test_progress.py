@@ -1,0 +1,66 @@
+"""Metrics of running jobs equal those of what they wrote, and cost no second scan."""
+
+import time
+
+from pyspark.sql import functions as F
+
+from framequarry.streaming.progress import Progress, StreamProgress, counts, watched
+
+KINDS = ("KEEP", "DROP", "none")
+
+
+def rows(spark, n):
+    return spark.range(n).withColumn("status", F.when(F.col("id") % 3 == 0, "KEEP").when(F.col("id") % 3 == 1, "DROP"))
+
+
+def test_counts_of_a_run_without_a_second_scan(spark, tmp_path):
+    scans = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            scans.add(b.num_rows)
+            yield b
+
+    source = rows(spark, 100)
+    df, got = watched(source.mapInArrow(seen, source.schema), counts("status", KINDS))
+    df.write.parquet(f"{tmp_path}/out")
+    written = {(r.status or "none"): r["count"] for r in spark.read.parquet(f"{tmp_path}/out").groupBy("status").count().collect()}
+    assert got.get == {"rows": 100, **{k: written[k] for k in KINDS}}
+    assert scans.value == 100
+
+
+def test_an_empty_table(spark):
+    df, got = watched(rows(spark, 0), counts("status", KINDS))
+    assert df.collect() == [] and got.get["rows"] == 0
+
+
+def test_rate_and_time_left():
+    now = [100.0]
+    p = Progress(total=50, clock=lambda: now[0])
+    assert p.left_s is None and p.rate == 0
+    now[0] += 10
+    p.add({"rows": 20, "KEEP": 15})
+    assert p.rate == 2 and p.left_s == 15 and p.line() == "20/50 KEEP 15 2.00/s 0.2 min left"
+    now[0] += 10
+    p.add({"rows": 40, "KEEP": None})
+    assert p.left_s == 0 and p.done == {"rows": 60, "KEEP": 15}
+    assert Progress().left_s is None
+
+
+def test_a_stream_reports_as_it_goes(spark, tmp_path):
+    for k in range(3):
+        rows(spark, 10 + k).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    said, progress = [], Progress(total=33)
+    listener = StreamProgress("work", progress, said.append)
+    spark.streams.addListener(listener)
+    try:
+        s = spark.readStream.schema("id long, status string").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        s.observe("work", *(c.alias(n) for n, c in counts("status", KINDS).items())).writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination()
+        until = time.time() + 20
+        while progress.done.get("rows", 0) < 33 and time.time() < until:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert progress.done == {"rows": out.count(), "KEEP": out.where("status = 'KEEP'").count(), "DROP": out.where("status = 'DROP'").count(), "none": out.where("status is null").count()}
+    assert len(said) == 3 and progress.left_s == 0
