@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framequarry.operators.dedup import keep_first, last_wins
 from framequarry.operators.shard import ceil_shards
+from framequarry.sources import files
 
 
 def upsert(existing: DataFrame | None, new: DataFrame, key: str, path: str, order: str | None = None) -> DataFrame:
@@ -54,18 +53,8 @@ def route(df: DataFrame, path: str, status: str = "filter_status") -> None:
 
 
 def write_images(df: DataFrame, folder: str, name: str = "name", content: str = "bytes") -> None:
-    """Each row's bytes as a file; a file is put in place by rename, so repeated tasks leave whole files."""
-
-    def save(rows):
-        for r in rows:
-            target = os.path.join(folder, os.path.basename(r[name]))
-            part = f"{target}.{os.getpid()}.part"
-            with open(part, "wb") as f:
-                f.write(r[content])
-            os.replace(part, target)
-
-    os.makedirs(folder, exist_ok=True)
-    df.select(name, content).foreachPartition(save)
+    """Each row's bytes as a file; files appear once all are whole (``sources/files.py``)."""
+    files.write_files(df, folder, name, content)
 
 
 def write_shards(df: DataFrame, order: str, shards: int, folder: str) -> DataFrame:

@@ -14,6 +14,7 @@ from framequarry import schemas
 from framequarry.functions import ids
 from framequarry.functions.text import strip
 from framequarry.operators.dedup import keep_first, last_wins
+from framequarry.sources import files
 
 
 def file_order() -> Column:
@@ -53,13 +54,13 @@ def id_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def listing(spark: SparkSession, folder: str, glob: str, recursive: bool = False) -> DataFrame:
     """path, name and size of files, hidden and partial ones left out; contents aren't read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower()).load(folder)
-    return files.select("path", ids.basename(F.col("path")).alias("name"), F.col("length").alias("size")).where(~F.col("name").startswith(".") & ~F.col("name").endswith(".part"))
+    found = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower()).load(folder)
+    return found.select("path", ids.basename(F.col("path")).alias("name"), F.col("length").alias("size")).where(~F.col("name").startswith(".") & ~F.col("name").endswith(".part"))
 
 
 def image_bytes(spark: SparkSession, folder: str, glob: str = "*.jpg", recursive: bool = False) -> DataFrame:
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower()).load(folder)
-    return files.select(ids.basename(F.col("path")).alias("name"), F.col("content").alias("bytes"))
+    found = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower()).load(folder)
+    return found.select(ids.basename(F.col("path")).alias("name"), F.col("content").alias("bytes"))
 
 
 def csv_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -84,9 +85,11 @@ def jsonl_map(spark: SparkSession, path: str, key: str, value: str, schema: T.St
 def status_table(spark: SparkSession, folder: str) -> DataFrame:
     """video_id and status of marker files ``<id>.done`` and ``<id>.failed``.
 
-    Markers are empty files, which scans leave out, so the file system is asked for the names; a status table in
-    place of markers needs no listing.
+    Markers are empty files, which scans leave out, so they are listed, by tasks for ``files`` and else, for file systems that only
+    Hadoop knows, by the driver. A status table in place of markers needs no listing.
     """
+    if files.known(folder):
+        return files.markers(spark, folder)
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/*.{{done,failed}}")
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
     names = spark.createDataFrame([(f.getPath().getName(),) for f in found or [] if not f.getPath().getName().startswith(".")], "name string")

@@ -1,0 +1,64 @@
+"""Listing in tasks and the file sink: no file of a failed job, no driver-side listing of all markers."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from framequarry.sources.files import listing, markers, write_files
+
+
+def tree(root):
+    return sorted(os.path.relpath(os.path.join(d, f), root) for d, _, names in os.walk(root) for f in names)
+
+
+def test_files_appear_whole_and_replace_old_ones(spark, tmp_path):
+    out = f"file://{tmp_path}/img"
+    df = spark.range(50).select(F.concat("id", F.lit(".jpg")).alias("name"), F.encode(F.concat(F.lit("b"), "id"), "utf-8").alias("bytes")).repartition(5)
+    write_files(df.unionByName(spark.createDataFrame([(None, b"x"), ("y.jpg", None), ("deep/er/z.jpg", b"z")], "name string, bytes binary")), out)
+    assert tree(f"{tmp_path}/img") == sorted([f"{i}.jpg" for i in range(50)] + ["z.jpg"])
+    assert (tmp_path / "img" / "7.jpg").read_bytes() == b"b7"
+    write_files(spark.createDataFrame([("7.jpg", b"new"), ("8.jpg", b"")], "name string, bytes binary"), out)
+    assert (tmp_path / "img" / "7.jpg").read_bytes() == b"new" and (tmp_path / "img" / "8.jpg").read_bytes() == b"" and len(tree(f"{tmp_path}/img")) == 51
+    write_files(df.limit(0), f"file://{tmp_path}/none")
+    assert tree(f"{tmp_path}") == sorted(f"img/{n}" for n in tree(f"{tmp_path}/img"))
+
+
+def test_a_failing_task_leaves_no_file(spark, tmp_path):
+    df = spark.range(0, 40, 1, 4).select(F.concat("id", F.lit(".jpg")).alias("name"), F.when(F.col("id") == 39, F.raise_error(F.lit("lost"))).otherwise(F.lit("x")).cast("binary").alias("bytes"))
+    with pytest.raises(Exception, match="lost"):
+        write_files(df, f"file://{tmp_path}/img")
+    assert tree(tmp_path) == []
+    with pytest.raises(Exception, match="no file name"):
+        write_files(spark.createDataFrame([("a/..", b"x")], "name string, bytes binary"), f"file://{tmp_path}/img")
+    assert tree(tmp_path) == []
+
+
+def test_markers_are_listed_by_several_tasks(spark, tmp_path):
+    for k in range(40):
+        (tmp_path / f"d{k % 8}").mkdir(exist_ok=True)
+        for j in range(25):
+            (tmp_path / f"d{k % 8}" / f"v{k}_{j}.{'failed' if j == 0 else 'done'}").touch()
+    (tmp_path / "top.done").touch()
+    (tmp_path / ".hidden.done").touch()
+    (tmp_path / "x.done.part").touch()
+    (tmp_path / "note.txt").write_text("n")
+    found = markers(spark, f"file://{tmp_path}")
+    assert found.rdd.getNumPartitions() > 4
+    assert {r.status: r["count"] for r in found.groupBy("status").count().collect()} == {"done": 961, "failed": 40}
+    assert found.where("video_id = 'top'").count() == 1
+    flat = {r.name: r.size for r in listing(spark, str(tmp_path), "*.txt").collect()}
+    assert flat == {"note.txt": 1}
+    assert listing(spark, f"{tmp_path}/missing", recursive=True).count() == 0
+
+
+def test_a_hundred_thousand_markers(spark, tmp_path):
+    for k in range(20):
+        d = tmp_path / f"p{k:02d}"
+        d.mkdir()
+        for j in range(5000):
+            os.close(os.open(d / f"{k}_{j}.done", os.O_CREAT | os.O_WRONLY))
+    found = markers(spark, str(tmp_path))
+    assert found.count() == 100_000
+    per_task = [r["n"] for r in found.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert len(per_task) >= 10 and max(per_task) < 40_000
