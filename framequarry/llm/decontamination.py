@@ -17,7 +17,8 @@ Every document also sends one marker row through the join, so documents without
 Rows are grouped by id and text hash, and repeated rows come back as often as they went in.
 
 Defined results: null or empty text has no words and no hits; items without words never hit; an empty benchmark leaves
-every document clean; a null id is a group of its own. Columns other than ids and texts are not read.
+every document clean; an empty document table gives an empty result; texts of any length are read whole; shingles of a
+window that are equally rare are told apart by their place, the first one is taken; a null id is a group of its own. Columns other than ids and texts are not read.
 """
 
 from __future__ import annotations
