@@ -10,7 +10,20 @@ from framequarry.scratch import Scratch, shared_dir
 __all__ = ["Scratch", "held_out", "join_counted", "labelled_sample", "look_up", "shared_dir", "spread_sample", "table", "up_to"]
 
 
+#: Bytes of an Arrow batch. Spark bounds its rows only, and ten thousand long documents are more than a task should hold at once.
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Batches to Python end at ``BATCH_BYTES`` from here on, unless the session says less."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name).removesuffix("b")
+    if now.isdigit() and int(now) > BATCH_BYTES:  # a size in other units is the user's own
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
