@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Fixed value: the form of an id.
 ID = "[A-Za-z0-9_-]{11}"
 
 
@@ -67,5 +68,6 @@ def repoint(folder: str, name: Column) -> Column:
     return F.concat(F.lit(folder.rstrip("/") + "/"), basename(name))
 
 
+#: The base address is a fixed value.
 def default_url(url: Column, video: Column, base: str = "https://www.youtube.com/watch?v=") -> Column:
     return F.coalesce(_or_null(url), F.concat(F.lit(base), video))

@@ -62,6 +62,7 @@ def background(ring: np.ndarray, step: int = 16) -> np.ndarray:
     return q[n.argmax()].astype(float) * step + step / 2
 
 
+#: The defaults are fixed values: colour distance, least width and most area of a grown box, and the rim that is looked at.
 def refine_box(img: np.ndarray, box: list[float], tol: float = 38, wide: float = 0.2, most: float = 0.6, rim: int = 6) -> list[float]:
     """A wide box grown to the flat band around it: the component, at the box's centre, of what has the colour of its rim."""
     h, w = img.shape[:2]

@@ -47,6 +47,7 @@ def fix_composites_in_batches(df: DataFrame, model: str, pattern: str = STRONG,
 
 def shard_rows(final: DataFrame, pictures: DataFrame) -> DataFrame:
     """Rows of the published shards: image bytes and path, then the scalars; descriptive_text only if there is one."""
+    # The columns of the published table, in their order.
     names = ["image_id", "image_filename", "video_id", "video_title", "video_url", "timestamp_seconds", "caption", "descriptive_text", "had_overlay", "overlay_inpainted", "n_boxes"]
     p = pictures.select(F.col("name").alias("fq_p"), "bytes")
     both = final.join(p, F.col("image_filename") == F.col("fq_p"))
