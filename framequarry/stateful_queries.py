@@ -18,6 +18,19 @@ def _events(spark, d):
     return read(spark, d, "events").select(week.alias("k"), "event_id", "event_type", "value")
 
 
+def _arrivals(rows, batch, folder):
+    """A stream of ``rows`` in four batches by ``batch``, 0 to 3. The source takes so many files at a time, by age; so each batch is
+    written by ``n`` tasks as ``n`` files, with a filler in each that the stream leaves out, as a task without rows writes no file."""
+    spark = rows.sparkSession
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+    fillers = spark.range(n).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema), F.col("id").cast("int").alias("fq_file"), F.lit(True).alias("fq_filler"))
+    for k in range(4):
+        mine = rows.where(batch == k).select("*", F.pmod(F.xxhash64(*rows.columns), F.lit(n)).cast("int").alias("fq_file"), F.lit(False).alias("fq_filler"))
+        mine.unionByName(fillers).repartitionById(n, "fq_file").drop("fq_file").write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(rows.withColumn("fq_filler", F.lit(False)).schema).option("maxFilesPerTrigger", n).parquet(folder)
+    return stream.where(~F.col("fq_filler")).drop("fq_filler")
+
+
 @query(f"""with e as (select {_WEEK} as k, event_id, event_type, value, case event_type when 'view' then 1 when 'click' then 2 when 'purchase' then 3 end as p from events where event_type in ('view', 'click', 'purchase'))
  select k, event_id, event_type, value, p as version, 'done ' || k as status from (select *, row_number() over (partition by k order by p, event_id) as rn from e) where rn = 1""")
 def commit_log_upsert(spark, d):
@@ -57,9 +70,7 @@ def resolver_state(spark, d):
     rows = read(spark, d, "events").select(F.col("user_id").cast("string").alias("id"), kind.alias("kind"), F.col("user_id").cast("long").alias("ord"), seconds().alias("ts"))
     first, last = rows.agg(F.min("ts"), F.max("ts")).first()
     quarter = F.least(F.floor((F.col("ts") - first) / ((last - first) / 4 + 1e-6)), F.lit(3))
-    for k in range(4):  # the source takes files by age
-        rows.where(quarter == k).coalesce(1).write.mode("append").parquet(f"{scratch.root}/in")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{scratch.root}/in")
+    stream = _arrivals(rows, quarter, f"{scratch.root}/in")
     out = resolver.due_signals(stream, wait_s=DAY, most=3, remember_s=None, event_time=True).writeStream.format("parquet").option("path", f"{scratch.root}/out")
     out.option("checkpointLocation", f"{scratch.root}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(resolver.SIGNAL).parquet(f"{scratch.root}/out").select("id", "ord", "try_no", F.round("at", 3).alias("t"), "signal")
@@ -71,9 +82,7 @@ def stream_once(spark, d):
     scratch = Scratch(spark)
     rows = _events(spark, d).select("k", F.col("event_id") % 4)
     rows = rows.toDF("k", "batch")
-    for k in range(4):
-        rows.where(F.col("batch") == k).coalesce(1).write.mode("append").parquet(f"{scratch.root}/in")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{scratch.root}/in")
+    stream = _arrivals(rows, F.col("batch"), f"{scratch.root}/in")
     once.once_stream(stream, "k", f"{scratch.root}/out", f"{scratch.root}/state", lambda new: new, buckets=8)
     return spark.read.parquet(*(f"{scratch.root}/out/b{k}" for k in range(4)))
 
