@@ -375,7 +375,7 @@ def _with(pairs: DataFrame, nodes: DataFrame, column: str, hot: DataFrame | None
             continue
         mine = hot.withColumnRenamed("node", end)
         ways = F.coalesce("ways", F.lit(1))
-        left = look_up(pairs, mine, [end], F.col(other), "left", nulls=False).withColumn("way", F.pmod(F.xxhash64(other), ways)).drop("ways")
+        left = look_up(pairs, mine, [end], F.col(other), "left", nulls=False, few=True).withColumn("way", F.pmod(F.xxhash64(other), ways)).drop("ways")
         right = side.join(mine, end, "left").withColumn("way", F.explode(F.sequence(F.lit(0).cast("long"), ways - 1))).drop("ways")
         pairs = left.join(right, [end, "way"]).drop("way")
     return pairs

@@ -1,0 +1,43 @@
+"""Tables that grow with the input don't go through the driver: their compressed files look smaller than they are."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from framequarry.llm import url_filter
+from framequarry.llm.common import Scratch, look_up
+
+
+def plans_since(spark, begun):
+    store = spark._jsparkSession.sharedState().statusStore()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    runs = store.executionsList()
+    return [runs.apply(i).physicalPlanDescription() for i in range(runs.size()) if runs.apply(i).executionId() > begun]
+
+
+def last_run(spark):
+    spark.range(1).collect()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return max(runs.apply(i).executionId() for i in range(runs.size()))
+
+
+def test_pages_are_not_broadcast(spark):
+    pages = spark.range(20_000).select(F.concat(F.lit("http://h"), F.col("id") % 50, F.lit(".org/en/"), F.col("id")).alias("url"), (F.col("id") % 2).cast("int").alias("bad"))
+    begun = last_run(spark)
+    out = url_filter.filter_urls(pages, [])
+    assert out.agg(F.count("*"), F.count_if(F.col("template") == "/en/*")).first() == (20_000, 20_000)
+    plans = plans_since(spark, begun)
+    assert sum("SortMergeJoin" in p for p in plans) >= 3
+    assert not [p for p in plans if "BroadcastExchange" in p]
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_look_up_joins_alike_either_way(spark, how):
+    large = spark.createDataFrame([(k, i) for i in range(40) for k in ("a", "b", None, "z")], "k string, i int")
+    small = Scratch(spark).write(spark.createDataFrame([("a", 1), ("b", 2), (None, 3), ("c", 4)], "k string, v int"))
+    values = {"a": 1, "b": 2, None: 3} | ({"z": None} if how == "left" else {})
+    want = sorted(((str(k), i, v) for k, v in values.items() for i in range(40)), key=str)
+    for few in (False, True):
+        got = look_up(large, small, ["k"], F.col("i"), how, few=few)
+        assert sorted(((str(r.k), r.i, r.v) for r in got.select("k", "i", "v").collect()), key=str) == want
+        assert ("BroadcastExchange" in got._jdf.queryExecution().executedPlan().toString()) == few
